@@ -20,7 +20,13 @@ from opslake.plans.contracts import Dataset
 from opslake.plans.domains import DATASETS, DOMAINS
 from opslake.sources.catalog import create_namespaces, materialize, register_table, tag_table
 from opslake.sources.schemas import SchemaRegistry, infer_schema
-from opslake.streaming.tables import bronze_schema, ingest_stream, stream_table, write_stream
+from opslake.streaming.tables import (
+    bronze_schema,
+    ingest_stream,
+    read_table,
+    stream_table,
+    write_stream,
+)
 
 FEED_TAGS = {
     "reverse_etl.reorder_alerts_feed": {"domain": "parts"},
@@ -134,11 +140,14 @@ class Lakehouse:
         seen = infer_schema(self.spark, path, spec.file_format, modified_after=modified_after)
         self.registry.evolve(dataset, seen)
 
-    def refresh_dataset(self, dataset: str, full: bool = False, run_id: str = "") -> None:
-        """Bring one dataset's bronze and silver tables up to date with its landing files.
+    def refresh_dataset(
+        self, dataset: str, full: bool = False, run_id: str = "", register: bool = True
+    ) -> DataFrame:
+        """Bring one dataset's bronze and silver tables up to date; returns silver.
 
         ``full`` starts a new generation: new folders and checkpoints, filled from every
         landing file. The tables move to it once it is complete; the old one stays on disk.
+        ``register=False`` leaves the catalog alone.
         """
         spark, spec = self.spark, DATASETS[dataset]
         known = self.registry.load(dataset) or self.registry.save(dataset, spec.landing_schema)
@@ -167,6 +176,9 @@ class Lakehouse:
                 1
             ).write.mode("append").parquet(self.event_log_path)
 
+        rows = read_table(spark, silver, tagged.schema)
+        if not register:
+            return rows
         properties = {"domain": spec.domain}
         register_table(
             spark,
@@ -184,6 +196,7 @@ class Lakehouse:
             f"{dataset} typed and checked",
             {**properties, "layer": "silver"},
         )
+        return rows
 
     def run_domain(
         self,

@@ -113,7 +113,7 @@ class CsvDeliveries:
         schema = self.registry.load(self.dataset).schema
         columns = StructType(list(schema.fields)).add(RESCUED, "string").add(SOURCE_FILE, "string")
         return (
-            self.spark.read.schema(StructType(list(columns.fields)).add(BATCH, "int"))
+            self.spark.read.schema(StructType(list(columns.fields)).add(BATCH, "integer"))
             .parquet(self.data)
             .filter(F.col(BATCH) <= done)
             .select(*columns.fieldNames())
