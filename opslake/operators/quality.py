@@ -47,9 +47,8 @@ def enforce(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
         if e.action == "fail":
             message = F.lit(f"expectation {e.name} failed: {e.predicate}")
             df = df.filter(F.when(e.holds, True).otherwise(F.raise_error(message).cast("boolean")))
-    drops = [e.holds for e in expectations if e.action == "drop"]
-    for holds in drops:
-        df = df.filter(holds)
+        elif e.action == "drop":
+            df = df.filter(e.predicate)  # bare, so that it can reach a parquet scan
     return df
 
 

@@ -69,17 +69,25 @@ PURCHASES = Dataset(
 
 
 def supplier_spend(purchases: DataFrame) -> DataFrame:
-    """Spend per supplier.
+    """Spend per supplier, with the exact count of its distinct purchases.
 
-    The one distinct count makes Spark group by (supplier, purchase) first, so the rows of a
-    supplier with a large share of all purchases are spread before they meet.
+    Sums are combined before they move, so they cost one row per task and supplier. Only the
+    distinct count has to move rows, and it moves two ids per purchase instead of all values;
+    it is spread by (supplier, purchase), so a supplier with a large share of all purchases
+    does not gather in one task. Purchases are read twice for it, by columns.
     """
-    return purchases.groupBy("supplier_id").agg(
+    money = purchases.groupBy("supplier_id").agg(
         F.sum(F.col("qty") * F.col("net_unit_price_usd")).alias("total_spend_usd"),
-        F.count_distinct("purchase_id").alias("purchase_count"),
         F.avg("net_unit_price_usd").alias("avg_net_price_usd"),
         F.max("purchased_at").alias("last_purchase_at"),
     )
+    distinct = purchases.select(F.col("supplier_id").alias("__supplier"), "purchase_id").distinct()
+    counted = distinct.groupBy("__supplier").agg(F.count("purchase_id").alias("purchase_count"))
+    same = F.col("supplier_id").eqNullSafe(F.col("__supplier"))
+    return money.join(counted, same).select(
+        *["supplier_id", "total_spend_usd", "purchase_count", "avg_net_price_usd"],
+        "last_purchase_at",
+    )
 
 
 def gold_supplier_performance(suppliers: DataFrame, purchases: DataFrame) -> DataFrame:
