@@ -19,12 +19,11 @@ from opslake.plans.lakehouse import Lakehouse
 from opslake.session import scratch_path
 from opslake.sources import generate
 from opslake.sources.landing import CsvDeliveries
-from opslake.sources.rescue import SOURCE_FILE, rescue_json_lines
+from opslake.sources.rescue import SOURCE_FILE, bronze_schema, rescue_json_lines
 from opslake.sources.schemas import SchemaRegistry, infer_schema
 from opslake.sources.shards import write_shards
 from opslake.sources.test_tables import table
 from opslake.streaming.tables import (
-    bronze_schema,
     ingest_stream,
     read_table,
     stream_table,
@@ -113,7 +112,7 @@ def ingest_header_reorder(spark: SparkSession, sf: str) -> DataFrame:
     write_shards(reordered.filter(large), f"{landing}/second", "csv", 4, spec.key)
     registry = SchemaRegistry(spark, f"{root}/schemas")
     registry.save("purchases", spec.landing_schema)
-    deliveries = CsvDeliveries(spark, root, "purchases", registry)
+    deliveries = CsvDeliveries(spark, f"{root}/bronze", "purchases", registry)
     deliveries.load(landing)
     return deliveries.read().drop(SOURCE_FILE)
 

@@ -66,7 +66,12 @@ def _candidates(
     batch: pa.RecordBatch | pa.Table, block: QueryBlock, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query slot, row, score) of every row that may be in a query's top k of this batch."""
-    scores = np.round(_unit(_matrix(batch.column(EMBEDDING))) @ block.vectors.T, SCORE_PLACES)
+    stored = _unit(_matrix(batch.column(EMBEDDING)))
+    if stored.shape[1] != block.vectors.shape[1]:
+        raise ValueError(
+            f"vectors of different widths: {stored.shape[1]} stored, {block.vectors.shape[1]} asked"
+        )
+    scores = np.round(stored @ block.vectors.T, SCORE_PLACES)
     if block.buckets is not None:
         shared = np.zeros(scores.shape, dtype=bool)
         of_rows = _matrix(batch.column(BUCKETS))

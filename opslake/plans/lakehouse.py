@@ -7,11 +7,12 @@ Gold tables are recomputed from all of silver, so late rows count with the next
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from opslake.operators.governance import COLUMN_MASKS, COLUMN_TAGS, certify_gold, masked_view, tag_columns
 from opslake.operators.quality import EVENT_LOG_SCHEMA, apply_expectations, event_log_rows
@@ -19,9 +20,10 @@ from opslake.plans import feeds, parts, service_ops, suppliers
 from opslake.plans.contracts import Dataset
 from opslake.plans.domains import DATASETS, DOMAINS
 from opslake.sources.catalog import create_namespaces, materialize, register_table, tag_table
-from opslake.sources.schemas import SchemaRegistry, infer_schema
+from opslake.sources.landing import BATCH, CsvDeliveries
+from opslake.sources.rescue import bronze_schema
+from opslake.sources.schemas import RegisteredSchema, SchemaRegistry, infer_schema
 from opslake.streaming.tables import (
-    bronze_schema,
     ingest_stream,
     read_table,
     stream_table,
@@ -118,8 +120,11 @@ class Lakehouse:
         root: str,
         landing: str,
         max_bytes_per_trigger: str | None = None,
+        drifting: Collection[str] = (),
     ) -> None:
+        """``drifting`` names CSV datasets whose files disagree on their header."""
         self.spark = spark
+        self.drifting = frozenset(drifting)
         self.root = root.rstrip("/")
         self.landing = landing.rstrip("/")
         self.max_bytes_per_trigger = max_bytes_per_trigger
@@ -132,14 +137,35 @@ class Lakehouse:
         return table, checkpoint
 
     def learn_schema(self, dataset: str, modified_after: str | None = None) -> None:
-        """Add columns that new landing files bring; known columns keep their types."""
+        """Add columns that landing files bring; known columns keep their types.
+
+        Reads the files once: pass ``modified_after`` to look at the new ones only. Drifting
+        CSV datasets learn from their headers while they load and are left out here.
+        """
         spec = DATASETS[dataset]
         if self.registry.load(dataset) is None:
             self.registry.save(dataset, spec.landing_schema)
+        if dataset in self.drifting:
+            return
         path = f"{self.landing}/{dataset}"
         seen = infer_schema(self.spark, path, spec.file_format, modified_after=modified_after)
         self.registry.evolve(dataset, seen)
 
+    def _load_bronze(self, spec: Dataset, known: RegisteredSchema) -> tuple[str, StructType]:
+        """Bring bronze up to date; returns its folder and columns."""
+        landing = f"{self.landing}/{spec.name}"
+        bronze, checkpoint = self._paths(spec, "bronze", known.generation)
+        if spec.name in self.drifting:
+            deliveries = CsvDeliveries(self.spark, bronze, spec.name, self.registry)
+            deliveries.load(landing)
+            schema = bronze_schema(self.registry.load(spec.name).schema)
+            return deliveries.data, schema.add(BATCH, "integer")
+        stream = ingest_stream(
+            self.spark, landing, spec.file_format, known.schema, self.max_bytes_per_trigger
+        )
+        write_stream(stream, bronze, checkpoint)
+        return bronze, bronze_schema(known.schema)
+
     def refresh_dataset(
         self, dataset: str, full: bool = False, run_id: str = "", register: bool = True
     ) -> DataFrame:
@@ -153,18 +179,8 @@ class Lakehouse:
         known = self.registry.load(dataset) or self.registry.save(dataset, spec.landing_schema)
         if full:
             known = self.registry.save(dataset, known.schema, known.generation + 1)
-        bronze, bronze_checkpoint = self._paths(spec, "bronze", known.generation)
+        bronze, schema = self._load_bronze(spec, known)
         silver, silver_checkpoint = self._paths(spec, "silver", known.generation)
-        schema = bronze_schema(known.schema)
-
-        arriving = ingest_stream(
-            spark,
-            f"{self.landing}/{dataset}",
-            spec.file_format,
-            known.schema,
-            self.max_bytes_per_trigger,
-        )
-        write_stream(arriving, bronze, bronze_checkpoint)
 
         typed = spec.project(stream_table(spark, bronze, schema))
         checked = apply_expectations(typed, spec.expectations, observe_as=f"dq_{dataset}")
@@ -250,11 +266,18 @@ class Lakehouse:
         """Passed and failed counts per run, dataset and expectation."""
         return self.spark.read.schema(EVENT_LOG_SCHEMA).parquet(self.event_log_path)
 
-    def run(self, as_of: datetime | str | None = None, full: bool = False) -> DataFrame:
-        """Everything in order; returns the published batch or, without alerts, the summary."""
+    def run(
+        self, as_of: datetime | str | None = None, full: bool = False, learn: bool = False
+    ) -> DataFrame:
+        """Everything in order; returns the published batch or, without alerts, the summary.
+
+        ``learn`` looks through the landing files for new columns first.
+        """
         spark = self.spark
         run_id = uuid.uuid4().hex
         create_namespaces(spark)
+        for dataset in DATASETS if learn else ():
+            self.learn_schema(dataset)
         for domain in DOMAINS:
             self.run_domain(domain, as_of, full, run_id)
         self.govern()

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from opslake.sources.rescue import CORRUPT, RESCUED, SOURCE_FILE, rescue_text_columns
-from opslake.sources.schemas import SchemaRegistry
+from opslake.sources.rescue import CORRUPT, SOURCE_FILE, bronze_schema, rescue_text_columns
+from opslake.sources.schemas import SchemaRegistry, evolve
 
 BATCH = "_batch"
 
@@ -43,15 +43,37 @@ def _split_header(line: str) -> list[str]:
     return [name.strip().strip('"') for name in line.lstrip("\ufeff").split(",")]
 
 
-def read_drifted_csv(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
-    """All rows of the files by column name, typed, with ``_rescued`` and ``_source_file``."""
-    found = file_headers(spark, paths).collect()  # one short row per new file
+def header_groups(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Files by header line. One short row per new file reaches the driver."""
     groups: dict[str, list[str]] = {}
-    for row in found:
+    for row in file_headers(spark, paths).collect():
         groups.setdefault(row["header"], []).append(row[SOURCE_FILE])
-    known = {f.name for f in schema.fields}
+    return dict(sorted(groups.items()))
+
+
+def learn_columns(
+    spark: SparkSession, groups: dict[str, list[str]], known: StructType | None
+) -> StructType:
+    """``known`` with the columns that only these files have, typed by inference.
+
+    Only groups with an unknown column are read for it.
+    """
+    schema = known
+    for header, files in groups.items():
+        if schema is not None and set(_split_header(header)) <= set(schema.names):
+            continue
+        seen = spark.read.option("header", True).option("inferSchema", True).csv(files).schema
+        schema = evolve(schema, seen)
+    return schema
+
+
+def read_drifted_csv(
+    spark: SparkSession, groups: dict[str, list[str]], schema: StructType
+) -> DataFrame:
+    """All rows of the files by column name, typed, with ``_rescued`` and ``_source_file``."""
+    known = set(schema.names)
     result = None
-    for header, files in sorted(groups.items()):
+    for header, files in groups.items():
         names = _split_header(header)
         text = StructType()
         for name in names:
@@ -66,8 +88,7 @@ def read_drifted_csv(spark: SparkSession, paths: list[str], schema: StructType)
         typed = rescue_text_columns(raw, schema, [n for n in names if n not in known])
         result = typed if result is None else result.unionByName(typed)
     if result is None:
-        empty = StructType(list(schema.fields)).add(RESCUED, "string").add(SOURCE_FILE, "string")
-        return spark.createDataFrame([], empty)
+        return spark.createDataFrame([], bronze_schema(schema))
     return result
 
 
@@ -80,16 +101,20 @@ class CsvDeliveries:
 
     def __init__(self, spark: SparkSession, root: str, dataset: str, registry: SchemaRegistry) -> None:
         self.spark = spark
-        self.data = f"{root}/{dataset}/data"
-        self.manifest = f"{root}/{dataset}/manifest"
+        self.data = f"{root}/data"
+        self.manifest = f"{root}/manifest"
         self.dataset = dataset
         self.registry = registry
 
     def _loaded(self) -> DataFrame:
         return self.spark.read.schema(f"{SOURCE_FILE} string, {BATCH} int").parquet(self.manifest)
 
-    def load(self, landing: str) -> int:
-        """Load the files of ``landing`` not loaded before; returns how many there were."""
+    def load(self, landing: str, learn: bool = True) -> int:
+        """Load the files of ``landing`` not loaded before; returns how many there were.
+
+        With ``learn`` a column seen for the first time joins the registered schema; without,
+        its values go to ``_rescued``.
+        """
         spark = self.spark
         empty = spark.createDataFrame([], f"{SOURCE_FILE} string, {BATCH} int")
         empty.write.mode("ignore").parquet(self.manifest)
@@ -99,8 +124,14 @@ class CsvDeliveries:
         if not new:
             return 0
         batch = (loaded.agg(F.max(BATCH)).head()[0] or 0) + 1
-        schema = self.registry.load(self.dataset).schema
-        rows = read_drifted_csv(spark, sorted(new), schema)
+        groups = header_groups(spark, sorted(new))
+        known = self.registry.load(self.dataset)
+        schema = known.schema if known else None
+        if learn or schema is None:
+            schema = self.registry.evolve(
+                self.dataset, learn_columns(spark, groups, schema)
+            ).schema
+        rows = read_drifted_csv(spark, groups, schema)
         rows.write.mode("overwrite").parquet(f"{self.data}/{BATCH}={batch}")
         spark.createDataFrame([(p, batch) for p in new], f"{SOURCE_FILE} string, {BATCH} int").coalesce(
             1
@@ -110,11 +141,11 @@ class CsvDeliveries:
     def read(self) -> DataFrame:
         """Rows of the finished batches, in the registry's current schema."""
         done = self._loaded().agg(F.max(BATCH)).head()[0] or 0
-        schema = self.registry.load(self.dataset).schema
-        columns = StructType(list(schema.fields)).add(RESCUED, "string").add(SOURCE_FILE, "string")
+        columns = bronze_schema(self.registry.load(self.dataset).schema)
+        stored = StructType(list(columns.fields)).add(BATCH, "integer")
         return (
-            self.spark.read.schema(StructType(list(columns.fields)).add(BATCH, "integer"))
+            self.spark.read.schema(stored)
             .parquet(self.data)
             .filter(F.col(BATCH) <= done)
-            .select(*columns.fieldNames())
+            .select(*columns.names)
         )

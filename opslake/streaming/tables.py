@@ -8,19 +8,14 @@ from pyspark.sql.types import StructType
 
 from opslake.sources.rescue import (
     CORRUPT,
-    RESCUED,
     SOURCE_FILE,
     all_strings,
+    bronze_schema,
     rescue_json_lines,
     rescue_text_columns,
 )
 
 
-def bronze_schema(schema: StructType) -> StructType:
-    """The dataset's columns plus rescued data and source file."""
-    return StructType(list(schema.fields)).add(RESCUED, "string").add(SOURCE_FILE, "string")
-
-
 def ingest_stream(
     spark: SparkSession,
     path: str,
