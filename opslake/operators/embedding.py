@@ -13,6 +13,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opslake.operators.diff import CHANGE, snapshot_diff
+from opslake.session import scratch_path
+
 EMBEDDING = "embedding"
 
 
@@ -96,21 +99,37 @@ def sync_index(
 ) -> DataFrame:
     """The index brought up to date with ``source``.
 
-    Rows whose text is new or changed are embedded, rows gone from the source are gone, the
-    others keep their vector. One join by key decides; running it again embeds nothing.
+    Rows whose text is new or changed are embedded, rows gone from the source are gone, and
+    the others keep their vector; a row whose other columns changed keeps its vector too.
+    Running it again embeds nothing.
+
+    The comparison moves keys, texts and columns but no vectors. Its result, which is as large
+    as the change, is written to the scratch folder once; the index is then filtered by it,
+    without a shuffle while the change is small enough for Spark to broadcast.
     """
     kept = [c for c in (columns or source.columns) if c not in (key, text)]
     current = source.select(key, text, *kept)
     if index is None:
         return embedder.transform(current, text)
-    before = index.select(
+
+    spark = source.sparkSession
+    index = index.filter(F.col(EMBEDDING).isNotNull()).select(key, text, *kept, EMBEDDING)
+    path = scratch_path(spark, "index-changes")
+    snapshot_diff(index.drop(EMBEDDING), current, key).write.parquet(path)
+    changes = spark.read.parquet(path)
+
+    upserts = changes.filter(F.col(CHANGE) != "delete").select(key, text, *kept)
+    replaced = index.join(upserts.select(key), key, "left_semi").select(
         key, F.col(text).alias("__old_text"), F.col(EMBEDDING).alias("__old_vector")
     )
-    joined = current.join(before, key, "left")
-    unchanged = F.col("__old_vector").isNotNull() & F.col("__old_text").eqNullSafe(F.col(text))
-    todo = joined.withColumn("__keep", unchanged).withColumn(
-        "__todo", F.when(~F.col("__keep"), F.col(text))
+    same_text = F.col("__old_vector").isNotNull() & F.col("__old_text").eqNullSafe(F.col(text))
+    todo = (
+        upserts.join(replaced, key, "left")
+        .withColumn("__keep", same_text)
+        .withColumn("__todo", F.when(~F.col("__keep"), F.col(text)))
     )
     embedded = embedder.transform(todo, "__todo", "__new_vector")
     vector = F.when(F.col("__keep"), F.col("__old_vector")).otherwise(F.col("__new_vector"))
-    return embedded.select(key, text, *kept, vector.alias(EMBEDDING))
+    fresh = embedded.select(key, text, *kept, vector.alias(EMBEDDING))
+    untouched = index.join(changes.select(key), key, "left_anti")
+    return untouched.select(*fresh.columns).unionByName(fresh)

@@ -140,7 +140,8 @@ class Lakehouse:
         """Add columns that landing files bring; known columns keep their types.
 
         Reads the files once: pass ``modified_after`` to look at the new ones only. Drifting
-        CSV datasets learn from their headers while they load and are left out here.
+        CSV datasets learn from their headers while they load and are left out here; a CSV
+        dataset that gained a column needs to be one of them to be fully refreshed.
         """
         spec = DATASETS[dataset]
         if self.registry.load(dataset) is None:

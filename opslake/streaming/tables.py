@@ -28,7 +28,7 @@ def ingest_stream(
     Cells are read as text and cast afterwards, so a bad value costs that value and not the
     row. A CSV file whose header differs from ``schema`` stops the stream rather than
     swapping values: such deliveries go through ``sources.landing.CsvDeliveries``.
-    ``max_bytes_per_trigger`` (for example "500g") bounds one micro-batch on a large backlog.
+    ``max_bytes_per_trigger`` (a number of bytes) bounds one micro-batch on a large backlog.
     """
     reader = spark.readStream.option("recursiveFileLookup", True)
     if max_bytes_per_trigger:

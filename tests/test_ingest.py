@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from opslake.operators.quality import apply_expectations, event_log_rows
 from opslake.plans.domains import DATASETS
 from opslake.sources.landing import BATCH, CsvDeliveries, file_headers, list_files
 from opslake.sources.schemas import SchemaRegistry, align, evolve, infer_schema
@@ -187,6 +188,24 @@ def test_stream_of_a_table_equals_a_batch(spark, sf, tmp_path):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_counts_cover_every_micro_batch(spark, sf, tmp_path):
+    spec = DATASETS["purchases"]
+    raw = RAW["purchases"](spark, sf)
+    write_shards(raw, str(tmp_path / "landing"), "csv", 6, spec.key)
+    feed = ingest_stream(
+        spark, str(tmp_path / "landing"), "csv", spec.landing_schema, max_bytes_per_trigger="120000"
+    )
+    checked = apply_expectations(spec.project(feed), spec.expectations, "dq")
+    batches = write_stream(checked, str(tmp_path / "silver"), str(tmp_path / "checkpoint"))
+    assert len(batches) > 1
+    log = event_log_rows(spark, "r", "purchases", spec.expectations, batches).collect()
+    bad = raw.filter("qty <= 0").count()
+    assert [(r.passed + r.failed, r.failed) for r in log] == [
+        (raw.count(), bad if r.expectation == "qty_positive" else 0) for r in log
+    ]
+    assert read_table(spark, str(tmp_path / "silver"), checked.schema).count() == raw.count() - bad
+
+
 @pytest.mark.parametrize("file_format", ["csv", "json"])
 def test_shards_hold_contiguous_ranges(spark, tmp_path, file_format):
     path = str(tmp_path / "s")
