@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHANGE = "change"
 
 
+def _keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _keyed(keys: Sequence[str]) -> Column:
+    """Whether a row has all parts of its key."""
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    return present
+
+
 def snapshot_diff(
     old: DataFrame, new: DataFrame, key: str | Sequence[str], compare: Sequence[str] | None = None
 ) -> DataFrame:
@@ -17,10 +29,15 @@ def snapshot_diff(
 
     Inserts and updates carry the new values, deletes the old ones. ``compare`` limits which
     columns make a row count as changed; NULL equals NULL. The key is unique in each
-    snapshot, so the full outer join matches at most one row to one row.
+    snapshot, so the full outer join matches at most one row to one row. Rows without a key
+    match nothing: they are deletes and inserts, and bypass the join instead of meeting in
+    one of its tasks.
     """
-    keys = [key] if isinstance(key, str) else list(key)
+    keys = _keys(key)
     values = [c for c in new.columns if c not in keys]
+    lost = old.filter(~_keyed(keys)).select(F.lit("delete").alias(CHANGE), *keys, *values)
+    gained = new.filter(~_keyed(keys)).select(F.lit("insert").alias(CHANGE), *keys, *values)
+    old, new = old.filter(_keyed(keys)), new.filter(_keyed(keys))
     compare = values if compare is None else [c for c in compare if c not in keys]
     before = old.select(
         *[F.col(k).alias(f"__old_{k}") for k in keys],
@@ -38,7 +55,7 @@ def snapshot_diff(
         .when(~same, "update")
     )
     kept = F.coalesce(F.col("__after"), F.col("__before"))
-    return (
+    matched = (
         joined.withColumn(CHANGE, change)
         .filter(F.col(CHANGE).isNotNull())
         .select(
@@ -47,11 +64,12 @@ def snapshot_diff(
             *[kept[c].alias(c) for c in values],
         )
     )
+    return matched.unionByName(lost).unionByName(gained)
 
 
 def apply_diff(old: DataFrame, diff: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """``old`` with the changes of ``diff`` carried out."""
-    keys = [key] if isinstance(key, str) else list(key)
-    untouched = old.join(diff.select(*keys), keys, "left_anti")
+    keys = _keys(key)
+    untouched = old.filter(_keyed(keys)).join(diff.select(*keys), keys, "left_anti")
     upserts = diff.filter(F.col(CHANGE) != "delete").select(*old.columns)
     return untouched.select(*old.columns).unionByName(upserts)

@@ -54,7 +54,7 @@ class TfIdfEmbedder:
         return cls(PipelineModel.load(path))
 
     def save(self, path: str) -> None:
-        self.model.save(path)
+        self.model.write().overwrite().save(path)
 
     def transform(self, df: DataFrame, text: str, output: str = EMBEDDING) -> DataFrame:
         named = df.withColumn(self._TEXT, F.coalesce(F.col(text), F.lit("")))
@@ -101,14 +101,14 @@ def sync_index(
 
     Rows whose text is new or changed are embedded, rows gone from the source are gone, and
     the others keep their vector; a row whose other columns changed keeps its vector too.
-    Running it again embeds nothing.
+    Running it again embeds nothing. Rows without a key cannot be indexed.
 
     The comparison moves keys, texts and columns but no vectors. Its result, which is as large
     as the change, is written to the scratch folder once; the index is then filtered by it,
     without a shuffle while the change is small enough for Spark to broadcast.
     """
     kept = [c for c in (columns or source.columns) if c not in (key, text)]
-    current = source.select(key, text, *kept)
+    current = source.filter(F.col(key).isNotNull()).select(key, text, *kept)
     if index is None:
         return embedder.transform(current, text)
 

@@ -14,8 +14,16 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from opslake.operators.governance import COLUMN_MASKS, COLUMN_TAGS, certify_gold, masked_view, tag_columns
+from opslake.operators.embedding import TextEmbedder, TfIdfEmbedder, sync_index
+from opslake.operators.governance import (
+    COLUMN_MASKS,
+    COLUMN_TAGS,
+    certify_gold,
+    masked_view,
+    tag_columns,
+)
 from opslake.operators.quality import EVENT_LOG_SCHEMA, apply_expectations, event_log_rows
+from opslake.operators.search import search_text
 from opslake.plans import feeds, parts, service_ops, suppliers
 from opslake.plans.contracts import Dataset
 from opslake.plans.domains import DATASETS, DOMAINS
@@ -30,6 +38,8 @@ from opslake.streaming.tables import (
     write_stream,
 )
 
+INDEX_TABLE = "parts.parts_searchable_index"
+INDEX_TEXT = "description"
 FEED_TAGS = {
     "reverse_etl.reorder_alerts_feed": {"domain": "parts"},
     "reverse_etl.supplier_tier_feed": {"domain": "suppliers"},
@@ -130,6 +140,7 @@ class Lakehouse:
         self.max_bytes_per_trigger = max_bytes_per_trigger
         self.registry = SchemaRegistry(spark, f"{self.root}/_schemas")
         self.event_log_path = f"{self.root}/_event_log"
+        self.model_path = f"{self.root}/_models/tfidf"
 
     def _paths(self, spec: Dataset, layer: str, generation: int) -> tuple[str, str]:
         table = f"{self.root}/{spec.domain}/{layer}_{spec.name}/generation={generation}"
@@ -252,6 +263,41 @@ class Lakehouse:
                 tag_table(spark, name, {"reverse_etl": "true", **FEED_TAGS[name]})
         return count
 
+    def sync_search_index(self, embedder: TextEmbedder | None = None) -> DataFrame:
+        """Embed what is new or changed in the searchable table; returns the index table.
+
+        Without an ``embedder`` the first sync fits TF-IDF on the descriptions and keeps the
+        model; later syncs and searches load it, so all vectors come from one model.
+        """
+        spark = self.spark
+        source = spark.table("parts.parts_searchable")
+        known = spark.catalog.tableExists(INDEX_TABLE)
+        if embedder is None:
+            if not known:
+                TfIdfEmbedder.fit(source, INDEX_TEXT).save(self.model_path)
+            embedder = TfIdfEmbedder.load(self.model_path)
+        index = spark.table(INDEX_TABLE) if known else None
+        synced = sync_index(index, source, embedder, "part_id", INDEX_TEXT)
+        return materialize(
+            synced,
+            INDEX_TABLE,
+            f"{self.root}/index",
+            "Embedded descriptions of the parts",
+            {"domain": "parts"},
+        )
+
+    def search_parts(
+        self, queries: DataFrame, k: int = 5, embedder: TextEmbedder | None = None
+    ) -> DataFrame:
+        """The k closest parts for each (query_id, query_text), the score last."""
+        return search_text(
+            self.spark.table(INDEX_TABLE),
+            queries,
+            embedder or TfIdfEmbedder.load(self.model_path),
+            k=k,
+            columns=["sku", "part_name", "category", "manufacturer", "list_price_usd"],
+        )
+
     def govern(self) -> None:
         """Certify the gold tables and offer the masked reading of the personal columns."""
         certify_gold(self.spark)
@@ -282,6 +328,7 @@ class Lakehouse:
         for domain in DOMAINS:
             self.run_domain(domain, as_of, full, run_id)
         self.govern()
+        self.sync_search_index()
         if self.publish_if_alerts(as_of):
             return feeds.alert_batch_summary(spark.table("reverse_etl.reorder_alerts_feed"))
         return feeds.clean_run_summary(

@@ -20,6 +20,11 @@ BASE_CONF = {
 }
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20) -> int:
+    """Shuffle partitions that keep one task's share of ``input_bytes`` near the target."""
+    return max(1, -(-input_bytes // target_bytes))
+
+
 def get_session(
     app_name: str = "opslake",
     master: str | None = None,
@@ -29,7 +34,7 @@ def get_session(
     """Session with the engine's settings.
 
     ``shuffle_partitions`` is the upper bound that adaptive execution coalesces from:
-    about input bytes / 128 MB on a cluster, the core count on one machine.
+    ``shuffle_partitions_for(bytes)`` on a cluster, the core count on one machine.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:

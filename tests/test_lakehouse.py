@@ -107,6 +107,18 @@ def test_gold_from_streams_equals_gold_from_batches(spark, lakehouse):
     assert got.count() == want.count() and got.select(*want.columns).exceptAll(want).count() == 0
 
 
+def test_search_over_the_synced_index(spark, lakehouse):
+    index = spark.table("parts.parts_searchable_index")
+    assert index.count() == spark.table("parts.silver_parts").count()
+    asked = spark.createDataFrame(
+        [(1, "dialysis parts from Baxter"), (2, "hazardous ventilator")], "query_id int, query_text string"
+    )
+    hits = lakehouse.search_parts(asked, k=3).collect()
+    assert len(hits) == 6 and lakehouse.search_parts(asked).columns[-1] == "score"
+    assert {(r.category, r.manufacturer) for r in hits if r.query_id == 1} == {("Dialysis", "Baxter")}
+    assert {r.category for r in hits if r.query_id == 2} == {"Ventilator"}
+
+
 def test_later_runs(spark, lakehouse):
     before, events = counts(spark), lakehouse.event_log().count()
     lakehouse.run(AS_OF)

@@ -36,6 +36,20 @@ def test_diff_over_two_keys(spark):
     assert [tuple(r) for r in snapshot_diff(old, new, ["k", "w"]).collect()] == [("update", 1, "b", 7)]
 
 
+def test_rows_without_a_key_are_replaced(spark):
+    ddl = "k bigint, a string"
+    old = spark.createDataFrame([(1, "x"), (None, "p"), (None, "q")], ddl)
+    new = spark.createDataFrame([(1, "x"), (None, "q"), (2, "y")], ddl)
+    changes = snapshot_diff(old, new, "k")
+    assert sorted((r.change, r.a) for r in changes.collect()) == [
+        ("delete", "p"),
+        ("delete", "q"),
+        ("insert", "q"),
+        ("insert", "y"),
+    ]
+    assert same(apply_diff(old, changes, "k"), new)
+
+
 def test_namespaces_and_materialized_tables(spark, tmp_path):
     create_namespaces(spark)
     create_namespaces(spark)
