@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opslake.sources.catalog import tag_table
+
 
 def sort_column(spec: str) -> Column:
     """``"name"`` ascending or ``"-name"`` descending; NULLs come last either way."""
@@ -58,3 +60,20 @@ class MetricView:
         if order_by:
             result = result.orderBy(*[sort_column(o) for o in order_by])
         return result if limit is None else result.limit(limit)
+
+    def create_view(self, spark: SparkSession, schema: str) -> str:
+        """A catalog view at the finest grain, with tags and measures among its properties.
+
+        Coarser grains go through ``query``: measures such as means cannot be re-aggregated
+        from the view's rows.
+        """
+        target = f"{schema}.{self.name}"
+        columns = [f"{e} AS {n}" for n, e in {**self.dimensions, **self.measures}.items()]
+        grain = ", ".join(self.dimensions.values())
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {target} AS SELECT {', '.join(columns)} "
+            f"FROM {self.source} GROUP BY {grain}"
+        )
+        measures = {f"measure.{n}": e for n, e in self.measures.items()}
+        tag_table(spark, target, {**self.tags, **measures})
+        return target

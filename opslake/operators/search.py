@@ -183,30 +183,36 @@ def _block_search(
 ) -> DataFrame:
     """Query blocks meet index blocks: each pair is one group of bounded size on each side.
 
-    Rows are placed by their position, not by a key value, so no block grows hot.
+    Rows are placed by a hash of their whole content: the same after a retry, and spread even
+    if a key repeats.
     """
     query_blocks = max(1, math.ceil(queries.count() / block_queries))
     index_blocks = max(1, math.ceil(index.count() / BLOCK_INDEX_ROWS))
-    place = F.xxhash64(F.monotonically_increasing_id())
 
     def every(n: int, name: str):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
 
+    def block(names: list[str], n: int, alias: str):
+        return F.pmod(F.xxhash64(*names), F.lit(n)).cast("int").alias(alias)
+
     needed = list(dict.fromkeys([*columns, EMBEDDING]))
-    left = queries.select(
-        QUERY_ID, EMBEDDING, F.pmod(place, F.lit(query_blocks)).cast("int").alias("__q")
-    ).select("*", every(index_blocks, "__i"))
-    right = index.select(
-        *needed, F.pmod(place, F.lit(index_blocks)).cast("int").alias("__i")
-    ).select("*", every(query_blocks, "__q"))
+    asked = [QUERY_ID, EMBEDDING]
+    left = queries.select(*asked, block(asked, query_blocks, "__q")).select(
+        "*", every(index_blocks, "__i")
+    )
+    right = index.select(*needed, block(needed, index_blocks, "__i")).select(
+        "*", every(query_blocks, "__q")
+    )
     schema = _result_schema(index, queries, columns)
 
-    def meet(asked: pa.Table, stored: pa.Table) -> pa.Table:
+    def meet(asked_rows: pa.Table, stored: pa.Table) -> pa.Table:
         names = [QUERY_ID, *columns, SCORE]
-        block = QueryBlock(_unit(_matrix(asked.column(EMBEDDING)))) if asked.num_rows else None
+        queries_here = (
+            QueryBlock(_unit(_matrix(asked_rows.column(EMBEDDING)))) if asked_rows.num_rows else None
+        )
         chunks = stored.to_batches(max_chunksize=10_000)
-        top = _local_top(chunks, block, k, key, columns) if block and chunks else None
-        ids = asked.column(QUERY_ID).combine_chunks()
+        top = _local_top(chunks, queries_here, k, key, columns) if queries_here and chunks else None
+        ids = asked_rows.column(QUERY_ID).combine_chunks()
         if top is None:
             types = [ids.type] + [stored.schema.field(c).type for c in columns] + [pa.float64()]
             return pa.table([pa.array([], t) for t in types], names=names)

@@ -14,6 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from opslake.functions.business import URGENT_SHORTFALL
 from opslake.operators.embedding import TextEmbedder, TfIdfEmbedder, sync_index
 from opslake.operators.governance import (
     COLUMN_MASKS,
@@ -27,6 +28,7 @@ from opslake.operators.search import search_text
 from opslake.plans import feeds, parts, service_ops, suppliers
 from opslake.plans.contracts import Dataset
 from opslake.plans.domains import DATASETS, DOMAINS
+from opslake.plans.metrics import METRIC_VIEWS
 from opslake.sources.catalog import create_namespaces, materialize, register_table, tag_table
 from opslake.sources.landing import BATCH, CsvDeliveries
 from opslake.sources.rescue import bronze_schema
@@ -41,8 +43,8 @@ from opslake.streaming.tables import (
 INDEX_TABLE = "parts.parts_searchable_index"
 INDEX_TEXT = "description"
 FEED_TAGS = {
-    "reverse_etl.reorder_alerts_feed": {"domain": "parts"},
-    "reverse_etl.supplier_tier_feed": {"domain": "suppliers"},
+    "reverse_etl.reorder_alerts_feed": {"domain": "parts", "sink": "operational_store"},
+    "reverse_etl.supplier_tier_feed": {"domain": "suppliers", "sink": "operational_store"},
 }
 
 
@@ -249,9 +251,12 @@ class Lakehouse:
     def publish_if_alerts(self, as_of: datetime | str | None = None) -> int:
         """Replace both feeds when there are urgent reorders; else leave the last good ones."""
         spark = self.spark
-        reorder = spark.table("parts.gold_reorder_needed")
-        count = feeds.alert_count(reorder).head()["n"]
+        count = spark.sql(
+            "SELECT count(*) AS n FROM IDENTIFIER(:reorder) WHERE shortfall_qty > :urgent",
+            args={"reorder": "parts.gold_reorder_needed", "urgent": URGENT_SHORTFALL},
+        ).head()["n"]
         if count > 0:
+            reorder = spark.table("parts.gold_reorder_needed")
             built: Mapping[str, DataFrame] = {
                 "reverse_etl.reorder_alerts_feed": feeds.reorder_alerts_feed(reorder, as_of),
                 "reverse_etl.supplier_tier_feed": feeds.supplier_tier_feed(
@@ -299,8 +304,10 @@ class Lakehouse:
         )
 
     def govern(self) -> None:
-        """Certify the gold tables and offer the masked reading of the personal columns."""
+        """Certify the gold tables, publish the metric views and mask the personal columns."""
         certify_gold(self.spark)
+        for view in METRIC_VIEWS.values():
+            view.create_view(self.spark, "business_metrics")
         tag_table(
             self.spark, "parts.parts_searchable", {"purpose": "similarity_search_source"}
         )

@@ -91,4 +91,5 @@ def _is_view(spark: SparkSession, name: str) -> bool:
 def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     """The properties of one table, without the reader options Spark lists among them."""
     rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-    return {r["key"]: r["value"] for r in rows if not r["key"].startswith("option.")}
+    own = ("option.", "view.")
+    return {r["key"]: r["value"] for r in rows if not r["key"].startswith(own)}

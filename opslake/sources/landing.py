@@ -7,6 +7,8 @@ every file is loaded exactly once.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -40,7 +42,7 @@ def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _split_header(line: str) -> list[str]:
-    return [name.strip().strip('"') for name in line.lstrip("\ufeff").split(",")]
+    return [name.strip() for name in next(csv.reader([line.lstrip("\ufeff")]))]
 
 
 def header_groups(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from opslake.sources.schemas import TIMESTAMP_FORMAT
 
-_POSITION = "__position"
+_TIE = "__tie"
 
 
 def write_shards(
@@ -21,14 +21,15 @@ def write_shards(
 ) -> None:
     """Write ``shards`` files, each holding one range of ``key`` in order.
 
-    The position breaks ties, so rows that share a key value may still spread over shards.
+    A hash of the row breaks ties, so rows that share a key value spread over shards; unlike a
+    running number it is the same when a lost task is run again.
     ``max_records_per_file`` splits shards that would get too large for one file.
     """
-    placed = df.withColumn(_POSITION, F.monotonically_increasing_id())
+    placed = df.withColumn(_TIE, F.xxhash64(*df.columns))
     ordered = (
-        placed.repartitionByRange(shards, key, _POSITION)
-        .sortWithinPartitions(key, _POSITION)
-        .drop(_POSITION)
+        placed.repartitionByRange(shards, key, _TIE)
+        .sortWithinPartitions(key, _TIE)
+        .drop(_TIE)
     )
     writer = ordered.write.mode(mode).option("timestampFormat", TIMESTAMP_FORMAT)
     writer = writer.option("maxRecordsPerFile", max_records_per_file)

@@ -85,6 +85,21 @@ def test_first_run(spark, lakehouse):
     assert spark.table("suppliers_silver_suppliers_masked").filter("tax_id not like '***-*%'").count() == 0
 
 
+def test_metric_views_are_in_the_catalog(spark, lakehouse):
+    from opslake.operators.governance import tag_inventory
+    from opslake.plans.metrics import METRIC_VIEWS
+
+    for view in METRIC_VIEWS.values():
+        published = spark.table(f"business_metrics.{view.name}")
+        asked = view.query(spark, list(view.dimensions))
+        assert published.columns == asked.columns and published.count() == asked.count() > 0
+    tags = {(r.tag, r.value) for r in tag_inventory(spark, ["business_metrics.mv_part_demand"]).collect()}
+    assert {("metric_view", "true"), ("domain", "service_ops"), ("measure.work_orders", "SUM(work_orders)")} <= tags
+    certified = tag_inventory(spark, ["suppliers.gold_spend_by_region", "suppliers.silver_suppliers"])
+    assert certified.filter("tag = 'steward' and value = 'supply_chain_team'").count() == 1
+    assert certified.filter("column = 'tax_id' and tag = 'pii' and value = 'true'").count() == 1
+
+
 def test_event_log_counts_the_defects_exactly(spark, lakehouse):
     log = {r.expectation: r.failed for r in lakehouse.event_log().collect()}
     bad = {
