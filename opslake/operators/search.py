@@ -33,6 +33,8 @@ SCORE_PLACES = 9
 # Bounds of one query block: 2,048 vectors and 64 MB of doubles.
 BLOCK_QUERIES = 2048
 BLOCK_BYTES = 64 << 20
+# Scores held at once by a task (32 MB of doubles).
+SCORE_CELLS = 4 << 20
 # Index rows of one shuffled block (only used beyond one query block).
 BLOCK_INDEX_ROWS = 50_000
 _SLOT = "__slot"
@@ -65,7 +67,7 @@ class QueryBlock:
 def _candidates(
     batch: pa.RecordBatch | pa.Table, block: QueryBlock, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query slot, row, score) of every row that may be in a query's top k of this batch."""
+    """(query slot, row, score) of each query's top k rows of a batch sorted by key."""
     stored = _unit(_matrix(batch.column(EMBEDDING)))
     if stored.shape[1] != block.vectors.shape[1]:
         raise ValueError(
@@ -79,9 +81,13 @@ def _candidates(
             shared |= of_rows[:, t, None] == block.buckets[None, :, t]
         scores = np.where(shared, scores, -np.inf)
     rows = scores.shape[0]
-    if rows > k:  # all rows tied with the k-th stay; the key decides among them later
+    if rows > k:
         floor = np.partition(scores, rows - k, axis=0)[rows - k]
-        picked = scores >= floor
+        above, level = scores > floor, scores == floor
+        room = k - above.sum(axis=0)
+        if (level.sum(axis=0) > room).any():  # many rows tie for the last places: lowest keys win
+            level &= np.cumsum(level, axis=0, dtype=np.int32) <= room
+        picked = above | level
     else:
         picked = np.ones(scores.shape, dtype=bool)
     picked &= scores > -np.inf
@@ -99,6 +105,16 @@ def _keep_top(table: pa.Table, k: int, key: str) -> pa.Table:
     return table.filter(pa.array(rank < k))
 
 
+def _slices(
+    batches: Iterable[pa.RecordBatch | pa.Table], step: int
+) -> Iterator[pa.RecordBatch | pa.Table]:
+    """The rows that have a vector, at most ``step`` at a time."""
+    for batch in batches:
+        valid = batch.filter(pc.is_valid(batch.column(EMBEDDING)))
+        for start in range(0, valid.num_rows, step):
+            yield valid.slice(start, step)
+
+
 def _local_top(
     batches: Iterable[pa.RecordBatch | pa.Table],
     block: QueryBlock,
@@ -108,11 +124,9 @@ def _local_top(
 ) -> pa.Table | None:
     """The best k rows per query among ``batches``, holding one batch at a time."""
     best: pa.Table | None = None
-    for batch in batches:
-        valid = pc.is_valid(batch.column(EMBEDDING))
-        batch = batch.filter(valid)
-        if not batch.num_rows:
-            continue
+    step = max(256, SCORE_CELLS // len(block.vectors))
+    for batch in _slices(batches, step):
+        batch = batch.take(pc.sort_indices(batch.column(key)))
         slot, row, score = _candidates(batch, block, k)
         picked = batch.select(list(columns)).take(pa.array(row))
         arrays = [pa.array(slot.astype(np.int64)), pa.array(score)]

@@ -1,4 +1,8 @@
-"""All datasets by name, in the order their domains run."""
+"""All datasets by name, in the order their domains run.
+
+The column names, types, expectation names and predicates of the datasets are fixed values:
+they are the contract that readers of the tables and of the event log rely on.
+"""
 
 from __future__ import annotations
 

@@ -75,10 +75,13 @@ class SchemaRegistry:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
         self.path = path
+        self._created = False
 
     def _versions(self, dataset: str) -> DataFrame:
         # A dataset has a handful of rows, one per schema change or refresh.
-        self.spark.createDataFrame([], self._DDL).write.mode("ignore").parquet(self.path)
+        if not self._created:
+            self.spark.createDataFrame([], self._DDL).write.mode("ignore").parquet(self.path)
+            self._created = True
         return (
             self.spark.read.schema(self._DDL).parquet(self.path).filter(F.col("dataset") == dataset)
         )
