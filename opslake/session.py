@@ -53,7 +53,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
     Only a local session without ``spark.checkpoint.dir`` falls back to a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

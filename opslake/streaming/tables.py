@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -73,6 +75,12 @@ def write_stream(df: DataFrame, path: str, checkpoint: str) -> list[dict]:
         .start()
     )
     query.awaitTermination()
-    return [
-        row.asDict() for progress in query.recentProgress for row in progress.observedMetrics.values()
-    ]
+    progress = query.recentProgress
+    kept = int(df.sparkSession.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    if len(progress) >= kept:
+        warnings.warn(
+            f"only the last {kept} micro-batches reported counts; "
+            "raise spark.sql.streaming.numRecentProgressUpdates",
+            stacklevel=2,
+        )
+    return [row.asDict() for p in progress for row in p.observedMetrics.values()]
