@@ -11,12 +11,14 @@ Scores are rounded to nine places, so that equal vectors tie exactly; ties go to
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -25,6 +27,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from opslake.operators.embedding import EMBEDDING, TextEmbedder
 
+# Tasks receive these functions with the job, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUERY_ID = "query_id"
 SCORE = "score"
 RANK = "rank"
@@ -180,11 +185,11 @@ def _scan_search(
     buckets = BUCKETS in rows.column_names
     vectors = _unit(_matrix(rows.column(EMBEDDING)))
     codes = _matrix(rows.column(BUCKETS)) if buckets else None
-    sent = index.sparkSession.sparkContext.broadcast(QueryBlock(vectors, codes))
+    sent = index.sparkSession.sparkContext.broadcast((vectors, codes))
     needed = list(dict.fromkeys([*columns, EMBEDDING] + ([BUCKETS] if buckets else [])))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top = _local_top(batches, sent.value, k, key, columns)
+        top = _local_top(batches, QueryBlock(*sent.value), k, key, columns)
         if top is not None:
             yield from _with_ids(top, ids, columns).combine_chunks().to_batches()
 
