@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from opslake.llm.common import load, lower_ascii
 from opslake.llm.exact_dedup import exact_dedup
-from opslake.llm.registry import SQL_LOWER, register
+from opslake.llm.registry import ORACLES, QUERIES, SQL_LOWER, register
+
+__all__ = ["ORACLES", "QUERIES"]
 
 OP1_SQL = f"""
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
