@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from opslake.llm.common import load, lower_ascii
 from opslake.llm.exact_dedup import exact_dedup
+from opslake.llm.line_dedup import dedup_lines
 from opslake.llm.registry import ORACLES, QUERIES, SQL_LOWER, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -29,3 +30,30 @@ def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(docs, carry=["text_sha256"]).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
     )
+
+
+OP6_SQL = r"""
+with lines as (
+  select doc_id, generate_subscripts(ls, 1) as pos, unnest(ls) as line
+  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents)),
+keyed as (
+  select doc_id, pos, line, translate(
+    trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k from lines),
+repeated as (select k from keyed where k <> '' group by k having count(distinct doc_id) >= 10),
+marked as (
+  select doc_id, pos, line, k in (select k from repeated) as gone from keyed)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from marked group by doc_id
+"""
+
+
+@register("op6_line_dedup", OP6_SQL)
+def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup_lines(load(spark, sf, "documents")).select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
+    )
