@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslake.llm.common import load, lower_ascii
+from opslake.llm.decontaminate import benchmark_hits, hit_words
 from opslake.llm.exact_dedup import exact_dedup
 from opslake.llm.line_dedup import dedup_lines
 from opslake.llm.registry import ORACLES, QUERIES, SQL_LOWER, register
@@ -57,3 +58,47 @@ def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
         "n_dropped",
         F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+OP4_SQL = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+b as (
+  select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark),
+bw as (
+  select distinct item_id, least(10, len(ws)) as n,
+    array_to_string(list_slice(ws, s, s + least(10, len(ws)) - 1), ' ') as w
+  from (select item_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 9))) as s
+        from b where len(ws) > 0)),
+dw as (
+  select doc_id, s, n, array_to_string(list_slice(ws, s, s + n - 1), ' ') as w
+  from (select doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) as s
+        from d, (select distinct n from bw) where len(ws) >= n)),
+h as (select doc_id, s, dw.n as n, item_id from dw join bw using (w)),
+hw as (
+  select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(generate_series(s, s + n - 1)) as p from h) group by doc_id),
+hi as (
+  select doc_id, count(*) as n_items, string_agg(i, ',' order by i) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as i from h) group by doc_id)
+select doc_id, coalesce(len(ws), 0) as n_words, coalesce(n_hit, 0) as n_hit,
+  coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from d left join hw using (doc_id) left join hi using (doc_id)
+"""
+
+
+@register("op4_decontaminate", OP4_SQL)
+def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    hits = benchmark_hits(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda item: item.cast("string")))
+    return hits.select(
+        "doc_id",
+        "n_words",
+        hit_words(F.col("spans")).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("items") > 0).alias("contaminated"),
+    )
