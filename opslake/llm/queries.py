@@ -11,6 +11,7 @@ from opslake.llm.decontaminate import benchmark_hits, hit_words
 from opslake.llm.exact_dedup import exact_dedup
 from opslake.llm.line_dedup import dedup_lines
 from opslake.llm.registry import ORACLES, QUERIES, SQL_LOWER, register
+from opslake.llm.simhash import simhash_groups
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -102,3 +103,10 @@ def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
         (F.size("items") > 0).alias("contaminated"),
     )
+
+
+@register("op10_simhash")
+def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash_groups(load(spark, sf, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
