@@ -12,6 +12,7 @@ from opslake.llm.exact_dedup import exact_dedup
 from opslake.llm.line_dedup import dedup_lines
 from opslake.llm.registry import ORACLES, QUERIES, SQL_LOWER, register
 from opslake.llm.simhash import simhash_groups
+from opslake.llm.warc import warc_round_trip
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -110,3 +111,22 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_groups(load(spark, sf, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+OP3_SQL = """
+with p as (
+  select page_id, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as digest from pages),
+f as (select *, case when n >= 100 then min(page_id) over (partition by digest, n)
+  else page_id end as first_id from p)
+select page_id, n as payload_bytes, digest as payload_digest,
+  case when page_id = first_id then 'response' else 'revisit' end as record_type,
+  case when page_id = first_id then null else first_id end as refers_to
+from f
+"""
+
+
+@register("op3_warc", OP3_SQL)
+def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc_round_trip(load(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
