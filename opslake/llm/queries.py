@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from opslake.llm.common import load, lower_ascii
 from opslake.llm.decontaminate import benchmark_hits, hit_words
 from opslake.llm.exact_dedup import exact_dedup
+from opslake.llm.language_id import detect_language, fold, train
 from opslake.llm.line_dedup import dedup_lines
 from opslake.llm.registry import ORACLES, QUERIES, SQL_LOWER, register
 from opslake.llm.simhash import simhash_groups
@@ -130,3 +131,11 @@ def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc_round_trip(load(spark, sf, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@register("op5_language_id")
+def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load(spark, sf, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = train(docs.where(~held_out))
+    return detect_language(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
