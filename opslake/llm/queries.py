@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opslake.llm import kneser_ney
 from opslake.llm.common import load, lower_ascii
 from opslake.llm.decontaminate import benchmark_hits, hit_words
 from opslake.llm.exact_dedup import exact_dedup
@@ -139,3 +140,12 @@ def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
     held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
     model = train(docs.where(~held_out))
     return detect_language(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
+@register("op9_lm_scoring")
+def op9_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = F.coalesce(fold(F.col("doc_id"), 7) == 2, F.lit(False)).alias("held_out")
+    docs = load(spark, sf, "documents").select("doc_id", held_out, "text")
+    model = kneser_ney.train(docs.where(~F.col("held_out")))
+    scored = kneser_ney.score_documents(docs, model, keep=("doc_id", "held_out"))
+    return scored.withColumn("train_tokens", F.lit(model.train_tokens).cast("long"))
