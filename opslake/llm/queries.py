@@ -3,10 +3,11 @@ derives the columns of its contract."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import kneser_ney
+from opslake.llm import bpe, kneser_ney
 from opslake.llm.common import load, lower_ascii
 from opslake.llm.decontaminate import benchmark_hits, hit_words
 from opslake.llm.exact_dedup import exact_dedup
@@ -149,3 +150,15 @@ def op9_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     model = kneser_ney.train(docs.where(~F.col("held_out")))
     scored = kneser_ney.score_documents(docs, model, keep=("doc_id", "held_out"))
     return scored.withColumn("train_tokens", F.lit(model.train_tokens).cast("long"))
+
+
+@register("op7_byte_bpe")
+def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = bpe.encode(load(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(coded, ranks).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
