@@ -4,15 +4,16 @@ derives the columns of its contract."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslake.llm import bpe, kneser_ney
-from opslake.llm.common import load, lower_ascii
+from opslake.llm.common import ROW, load, lower_ascii
 from opslake.llm.decontaminate import benchmark_hits, hit_words
 from opslake.llm.exact_dedup import exact_dedup
 from opslake.llm.language_id import detect_language, fold, train
 from opslake.llm.line_dedup import dedup_lines
+from opslake.llm.quality import quality_scores
 from opslake.llm.registry import ORACLES, QUERIES, SQL_LOWER, register
 from opslake.llm.simhash import simhash_groups
 from opslake.llm.warc import warc_round_trip
@@ -162,3 +163,14 @@ def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def acceptable() -> Column:
+    """What the quality classifier learns to keep: good and not toxic, over ``labels``."""
+    return (F.col("quality") == 1) & (F.col("toxic") == 0)
+
+
+@register("op8_quality")
+def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = load(spark, sf, "documents"), load(spark, sf, "labels")
+    return quality_scores(docs, labels, acceptable()).drop(ROW)
