@@ -16,6 +16,7 @@ from opslake.llm.line_dedup import dedup_lines
 from opslake.llm.quality import quality_scores
 from opslake.llm.registry import ORACLES, QUERIES, SQL_LOWER, register
 from opslake.llm.simhash import simhash_groups
+from opslake.llm.substring_dedup import substring_dedup
 from opslake.llm.warc import warc_round_trip
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -174,3 +175,16 @@ def acceptable() -> Column:
 def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = load(spark, sf, "documents"), load(spark, sf, "labels")
     return quality_scores(docs, labels, acceptable()).drop(ROW)
+
+
+@register("op2_substring_dedup")
+def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = substring_dedup(load(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        "class_id",
+        "n_links",
+        hit_words(F.col("spans")).alias("n_repeated_words"),
+        "spans",
+        "repeated",
+    )
