@@ -6,8 +6,9 @@ once to the word's shard. There the words of all blocks meet, each distinct word
 once, and its ids go back to the blocks that asked. A block joins them to its positions and
 so puts every text together in order. Decoding joins ids to the bytes of the tokens.
 
-What is shuffled are packed, compressed arrays: the words of a block and shard, their ids,
-and the word numbers of texts. A frequent word counts once per block, however often it
+What is shuffled are packed, compressed arrays: the words of a block and shard, and their
+ids. The word numbers of texts are written bucketed by block, so they are joined where they
+lie. A frequent word counts once per block, however often it
 occurs, so no shard and no block grows with it.
 """
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from opslake.llm.common import map_arrow, stored
+from opslake.llm.common import bucketed, map_arrow
 from opslake.llm.kneser_ney import pieces
 
 # Bounds of a block: distinct words, and bytes of text.
-BLOCK_WORDS = 400_000
-BLOCK_BYTES = 48 << 20
+BLOCK_WORDS = 200_000
+BLOCK_BYTES = 16 << 20
 # Text bytes that one shard of words stands for.
 SHARD_BYTES = 32 << 20
 MIN_SHARDS = 8
@@ -175,8 +176,15 @@ def _encode_shard(ranks, pattern: str):
     return run
 
 
-def _assemble(keep: Sequence[str], schema: pa.Schema):
-    """Join the ids of a block's words to the positions of its texts."""
+def _decoder(ranks) -> Callable[[bytes], bytes]:
+    """Joins ids to the bytes of their tokens."""
+    token_bytes = {number: token for token, number in _ranks(ranks.value).items()}
+    return lambda ids: b"".join(map(token_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def _assemble(keep: Sequence[str], schema: pa.Schema, ranks):
+    """Join the ids of a block's words to the positions of its texts; with ``ranks``, join the
+    ids of the texts to the bytes of their tokens as well."""
 
     def run(key: tuple, texts: pa.Table, words: pa.Table) -> Iterator[pa.RecordBatch]:
         numbers, sizes, ids = (
@@ -190,6 +198,7 @@ def _assemble(keep: Sequence[str], schema: pa.Schema):
         start = np.zeros(len(numbers), np.int64)
         size[numbers] = sizes
         start[numbers] = np.cumsum(sizes, dtype=np.int64) - sizes
+        decoded = _decoder(ranks) if ranks is not None else None
         out = []
         for row in texts.to_batches():
             for i in range(row.num_rows):
@@ -202,16 +211,14 @@ def _assemble(keep: Sequence[str], schema: pa.Schema):
                 data = [
                     flat[a:b].astype("<u4").tobytes() for a, b in zip(tokens[:-1], tokens[1:])
                 ]
-                out.append(
-                    pa.RecordBatch.from_arrays(
-                        [
-                            *(row.column(c)[i].values for c in keep),
-                            pa.array(np.diff(tokens), pa.int64()),
-                            pa.array(data, pa.binary()),
-                        ],
-                        schema=schema,
-                    )
-                )
+                columns = [
+                    *(row.column(c)[i].values for c in keep),
+                    pa.array(np.diff(tokens), pa.int64()),
+                    pa.array(data, pa.binary()),
+                ]
+                if decoded is not None:
+                    columns.append(pa.array(map(decoded, data), pa.binary()))
+                out.append(pa.RecordBatch.from_arrays(columns, schema=schema))
         return pa.Table.from_batches(out, schema=schema)
 
     return run
@@ -223,10 +230,11 @@ def encode(
     pattern: str,
     text_col: str = "text",
     keep: Sequence[str] = ("doc_id",),
+    with_decoded: bool = False,
 ) -> DataFrame:
     """Per row of ``docs`` the kept columns, ``n_tokens`` and ``ids``: the token ids as
     little-endian unsigned 32-bit integers, as if each match of the pattern were encoded by
-    itself, without special tokens.
+    itself, without special tokens. ``with_decoded`` adds ``decoded``, as ``decode`` does.
 
     Null and empty texts have no tokens. Repeated rows are encoded alike, each for itself;
     an empty table gives no rows. A text is never split over blocks.
@@ -242,9 +250,8 @@ def encode(
         "shard int, words binary, numbers binary"
     )
     arrow = to_arrow_schema(StructType.fromDDL(layout))
-    blocks = stored(
-        map_arrow(texts, _split_blocks(pattern, shards, keep, arrow), layout), "bpe-blocks"
-    )
+    split = map_arrow(texts, _split_blocks(pattern, shards, keep, arrow), layout)
+    blocks = bucketed(split, "block", "bpe_blocks")
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     words = blocks.where("shard is not null").select("block", "shard", "words", "numbers")
     coded = words.groupBy("shard").applyInArrow(
@@ -252,9 +259,11 @@ def encode(
     )
     places = blocks.where("shard is null").select("block", "lengths", "codes", *keep)
     out = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", n_tokens long, ids binary"
+    if with_decoded:
+        out += ", decoded binary"
     result = to_arrow_schema(StructType.fromDDL(out))
     return places.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(
-        _assemble(keep, result), out
+        _assemble(keep, result, ranks if with_decoded else None), out
     )
 
 
@@ -266,12 +275,9 @@ def decode(coded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame
     names = coded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_bytes = {number: token for token, number in _ranks(ranks.value).items()}
+        join = _decoder(ranks)
         for batch in batches:
-            data = [
-                b"".join(map(token_bytes.__getitem__, np.frombuffer(ids.as_py() or b"", "<u4").tolist()))
-                for ids in batch.column(ids_col)
-            ]
+            data = [join(ids.as_py() or b"") for ids in batch.column(ids_col)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(data, pa.binary())], names=[*names, "decoded"]
             )

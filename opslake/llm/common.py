@@ -47,6 +47,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Like ``stored``, in as many buckets of ``key`` as a shuffle has partitions: what groups
+    by the key reads the buckets and needs no shuffle."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    name = f"{label}_{path[-32:]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # resolved; the name is needed no longer, and the files stay
+    spark.sql(f"drop table {name}")
+    return table
+
+
 def map_arrow(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:

@@ -157,8 +157,9 @@ def op9_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
 @register("op7_byte_bpe")
 def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode(load(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(coded, ranks).select(
+    docs = load(spark, sf, "documents")
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, with_decoded=True)
+    return coded.select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
