@@ -3,7 +3,7 @@
 The text view sees words and how they are used; the metadata view sees source, language,
 size and layout. Both are logistic regressions fitted on the labelled rows. In each round
 either view labels documents of an unlabelled pool; those it is sure of train the other view
-in the next round. In the end each view is calibrated on labelled rows kept out of training,
+in the next round, unless that view leans the other way. In the end each view is calibrated on labelled rows kept out of training,
 a last regression combines the two calibrated views, and all documents are scored whole.
 
 Fitting uses bounded samples, chosen by hash: ``max_labelled`` labelled rows and ``max_pool``
@@ -26,13 +26,13 @@ from opslake.llm.common import ROW, stored, with_row
 MAX_LABELLED = 8_000
 MAX_POOL = 8_000
 ROUNDS = 2
-SURE = 0.95
+SURE = 0.98
 VOCABULARY = 20_000
 MIN_DOCS = 3
 THRESHOLD = 0.5
-MAX_ITERATIONS = 30
+MAX_ITERATIONS = 50
 # Partitions of the bounded sample that the regressions are fitted on.
-FIT_PARTITIONS = 6
+FIT_PARTITIONS = 4
 
 TOKEN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
 TEXT_NUMBERS = ["distinct_share", "symbol_share", "mean_word"]
@@ -224,10 +224,11 @@ def train(
             scored = _probability(fitted[view], scored, f"{view}_view", f"{view}_raw")
         scored = stored(scored, f"pseudo-labels-{number}")
         for view, other in zip(VIEWS, reversed(VIEWS)):
-            p = F.col(f"{other}_raw")
-            confident = scored.where((p >= sure) | (p <= 1 - sure)).withColumn(
-                "label", (p >= 0.5).cast("double")
-            )
+            p, own = F.col(f"{other}_raw"), F.col(f"{view}_raw")
+            # Not against the view that is to learn it: a weak view must not mislead.
+            confident = scored.where(
+                ((p >= sure) & (own >= 0.5)) | ((p <= 1 - sure) & (own <= 0.5))
+            ).withColumn("label", (p >= 0.5).cast("double"))
             sets[view] = train_rows.unionByName(confident.select(*train_rows.columns))
 
     model = QualityModel(featurize, fitted, {}, None)
