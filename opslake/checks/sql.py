@@ -36,32 +36,34 @@ select s_suppkey as supplier_id, s_name as name, r_name as region,
  case s_suppkey % 3 when 0 then 'Preferred' when 1 then 'Approved' else 'Probation' end as tier,
  case when s_suppkey % 20 = 7 then cast(1.4 as double)
       else cast(0.82 as double) + cast(s_suppkey % 18 as double) / 100 end as on_time_rate,
- cast(50 + (s_suppkey * 37) % 3951 as int) as defect_rate_ppm,
+ case when s_suppkey % 10 = 3 then -1 else cast(50 + (s_suppkey * 37) % 3951 as int) end as defect_rate_ppm,
  cast(10 + s_suppkey % 90 as varchar) || '-' || cast(1000000 + s_suppkey * 7919 % 9000000 as varchar) as tax_id,
  'ops' || cast(s_suppkey as varchar) || '@supplier' || cast(s_suppkey as varchar) || '.example.com' as contact_email,
- case when s_suppkey % 14 = 0 then 0 else 1 end as active
+ case when s_suppkey % 10 = 5 then 2 when s_suppkey % 14 = 0 then 0 else 1 end as active
 from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""")
 
 cte("raw_purchases", "", """
 select l_orderkey * 10 + l_linenumber as purchase_id, l_partkey as part_id, l_suppkey as supplier_id,
  case when (l_orderkey * 7 + l_linenumber) % 200 = 0 then -1 else cast(l_quantity as int) end as qty,
- l_extendedprice / l_quantity as unit_price_usd, l_shipdate as purchased_at, l_discount as discount_pct
+ case when (l_orderkey * 3 + l_linenumber) % 250 = 1 then cast(0 as double) else l_extendedprice / l_quantity end as unit_price_usd,
+ l_shipdate as purchased_at,
+ case when (l_orderkey * 11 + l_linenumber) % 300 = 2 then cast(1.5 as double) else l_discount end as discount_pct
 from lineitem""")
 
 cte("raw_parts", "", """
 select p_partkey as part_id,
- 'PS-' || upper(substring(p_type, 1, 3)) || '-' || lpad(cast(p_partkey as varchar), 6, '0') as sku,
+ case when p_partkey % 33 = 8 then '' else 'PS-' || upper(substring(p_type, 1, 3)) || '-' || lpad(cast(p_partkey as varchar), 6, '0') end as sku,
  p_name as name, p_type as category, p_brand as manufacturer,
- case when p_partkey % 33 = 0 then cast(0 as double) else p_retailprice end as list_price_usd,
- cast(p_size as double) / 2 as weight_kg, case when p_partkey % 33 = 5 then 1 else 0 end as hazmat_flag,
+ case when p_partkey % 33 = 0 then cast(0 as double) when p_partkey % 33 = 10 then p_retailprice * 64 else p_retailprice end as list_price_usd,
+ case when p_partkey % 33 = 7 then cast(0 as double) else cast(p_size as double) / 2 end as weight_kg, case when p_partkey % 33 = 5 then 1 else 0 end as hazmat_flag,
  timestamp '2019-01-01 00:00:00' as created_at
 from part""")
 
 cte("raw_inventory", "", """
 select p_partkey * 5 + w as inventory_id, p_partkey as part_id,
  case w when 0 then 'CLE-01' when 1 then 'CHI-02' when 2 then 'DAL-03' when 3 then 'ATL-04' else 'LAX-05' end as warehouse,
- cast((p_partkey * 31 + w * 97) % 501 as int) as on_hand_qty,
- cast(5 + (p_partkey * 17 + w * 13) % 96 as int) as reorder_point,
+ case when (p_partkey * 5 + w) % 97 = 13 then -1 else cast((p_partkey * 31 + w * 97) % 501 as int) end as on_hand_qty,
+ case when (p_partkey * 5 + w) % 97 = 29 then 0 else cast(5 + (p_partkey * 17 + w * 13) % 96 as int) end as reorder_point,
  timestamp '2026-04-01 00:00:00' as updated_at
 from part cross join (values (0), (1), (2), (3), (4)) as t(w)""")
 
@@ -73,15 +75,15 @@ select work_order_id, part_id, customer_id, opened_at,
  status, priority, 'Replaced unit ' || cast(work_order_id as varchar) as technician_notes
 from (select o_orderkey as work_order_id, (o_orderkey * 13) % 200 as part_id, o_custkey as customer_id,
    o_orderdate as opened_at,
-   case when o_orderkey % 50 = 0 then 'cancelled' when o_orderstatus = 'F' then 'closed'
+   case when o_orderkey % 50 = 7 then 'unknown' when o_orderkey % 50 = 0 then 'cancelled' when o_orderstatus = 'F' then 'closed'
         when o_orderstatus = 'O' then 'open' else 'in_progress' end as status,
-   case substring(o_orderpriority, 1, 1) when '1' then 'P1' when '2' then 'P2' when '3' then 'P3' else 'P4' end as priority
+   case when o_orderkey % 50 = 9 then 'P9' else case substring(o_orderpriority, 1, 1) when '1' then 'P1' when '2' then 'P2' when '3' then 'P3' else 'P4' end end as priority
  from orders) x""")
 
 cte("raw_customers", "", """
 select c_custkey as customer_id, c_name as facility_name, c_mktsegment as type, r_name as region,
- cast(30 + c_custkey % 871 as int) as beds, cast(1000 + (c_custkey * 7919) % 9000 as varchar) as ssn_last4_contact,
- case c_custkey % 3 when 0 then 'Gold' when 1 then 'Silver' else 'Bronze' end as contract_tier
+ case when c_custkey % 50 = 3 then 0 else cast(30 + c_custkey % 871 as int) end as beds, cast(1000 + (c_custkey * 7919) % 9000 as varchar) as ssn_last4_contact,
+ case when c_custkey % 50 = 4 then 'Unknown' else case c_custkey % 3 when 0 then 'Gold' when 1 then 'Silver' else 'Bronze' end end as contract_tier
 from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""")
 
 # Typed rows before and after the drop expectations.
@@ -119,12 +121,12 @@ select s.supplier_id, supplier_name, region, tier,
  purchase_count, round(avg_net_price_usd, 2) as avg_net_price_usd, last_purchase_at
 from silver_suppliers s left join supplier_spend p on s.supplier_id = p.supplier_id""")
 cte("paid_stats", "silver_purchases", """
-select part_id, avg(net_unit_price_usd) as avg_paid_usd, min(net_unit_price_usd) as best_paid_usd,
+select part_id, cast(sum(cast(net_unit_price_usd as decimal(28,10))) as double) / count(net_unit_price_usd) as avg_paid_usd, min(net_unit_price_usd) as best_paid_usd,
  count(purchase_id) as purchase_count, max(purchased_at) as last_purchase_at
 from silver_purchases group by part_id""")
 cte("gold_part_pricing_benchmark", "silver_parts paid_stats", """
 select s.part_id, sku, part_name, category, manufacturer, round(list_price_usd, 2) as list_price_usd,
- round(avg_paid_usd, 2) as avg_paid_usd, round(best_paid_usd, 2) as best_paid_usd, purchase_count,
+ cast(round(cast(avg_paid_usd as decimal(28,8)), 2) as double) as avg_paid_usd, cast(round(cast(best_paid_usd as decimal(28,8)), 2) as double) as best_paid_usd, purchase_count,
  round(case when list_price_usd > 0 then (list_price_usd - avg_paid_usd) / list_price_usd end, 4) as savings_vs_list_pct,
  last_purchase_at
 from silver_parts s left join paid_stats p on s.part_id = p.part_id""")

@@ -27,6 +27,12 @@ def composite_score(on_time_rate: Column, defect_ppm: Column) -> Column:
     return F.lit(ON_TIME_WEIGHT) * on_time_rate + F.lit(QUALITY_WEIGHT) * quality
 
 
+def cents(amount: Column) -> Column:
+    """An amount to two places, half up on its decimal value: exact halves, which prices times
+    discounts often are, round the same way whatever double stands for them."""
+    return F.round(amount.cast("decimal(28,8)"), 2).cast("double")
+
+
 def savings_vs_list(list_price: Column, paid: Column) -> Column:
     """Share saved against list; NULL without a positive list price, may be negative."""
     return F.when(list_price > 0, (list_price - paid) / list_price)

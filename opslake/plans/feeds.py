@@ -25,8 +25,16 @@ def reorder_alerts_feed(reorder: DataFrame, as_of: datetime | str | None = None)
     """Urgent reorder rows with their estimated value."""
     value = business.reorder_value(F.col("shortfall_qty"), F.col("list_price_usd"))
     return _urgent(reorder).select(
-        *["part_id", "sku", "part_name", "category", "warehouse", "on_hand_qty", "reorder_point"],
-        *["shortfall_qty", "list_price_usd"],
+        # The columns of the feed.
+        "part_id",
+        "sku",
+        "part_name",
+        "category",
+        "warehouse",
+        "on_hand_qty",
+        "reorder_point",
+        "shortfall_qty",
+        "list_price_usd",
         value.alias("est_reorder_value_usd"),
         generated_at(as_of).alias("generated_at"),
     )
@@ -35,7 +43,13 @@ def reorder_alerts_feed(reorder: DataFrame, as_of: datetime | str | None = None)
 def supplier_tier_feed(performance: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
     """Recommended tier of every supplier with spend."""
     return performance.filter(F.col("total_spend_usd").isNotNull()).select(
-        *["supplier_id", "supplier_name", "region", "tier", "composite_score", "on_time_rate"],
+        # The columns of the feed.
+        "supplier_id",
+        "supplier_name",
+        "region",
+        "tier",
+        "composite_score",
+        "on_time_rate",
         "total_spend_usd",
         business.recommended_tier(F.col("composite_score")).alias("recommended_tier"),
         generated_at(as_of).alias("generated_at"),

@@ -8,22 +8,23 @@ from pyspark.sql import functions as F
 from opslake.operators.metric_view import MetricView
 
 
-def _view(name: str, source: str, dimensions: str, measures: dict[str, str]) -> MetricView:
+def _view(name: str, source: str, dimensions: list[str], measures: dict[str, str]) -> MetricView:
     return MetricView(
         name=name,
         source=source,
-        dimensions={d: d for d in dimensions.split()},
+        dimensions={d: d for d in dimensions},
         measures=measures,
         tags={"certified": "true", "metric_view": "true", "domain": source.split(".")[0]},
     )
 
 
+# Names, dimensions and measures of the views.
 # Means are taken over the source rows as they stand: a mean of supplier scores, of monthly
 # averages or of SLA shares, never weighted by the counts behind them.
 SUPPLIER_SPEND = _view(
     "mv_supplier_spend",
     "suppliers.gold_supplier_performance",
-    "supplier_id supplier_name region tier",
+    ["supplier_id", "supplier_name", "region", "tier"],
     {
         "total_spend_usd": "SUM(total_spend_usd)",
         "avg_composite_score": "AVG(composite_score)",
@@ -34,7 +35,7 @@ SUPPLIER_SPEND = _view(
 PRICING_BENCHMARK = _view(
     "mv_pricing_benchmark",
     "parts.gold_part_pricing_benchmark",
-    "part_id sku category manufacturer",
+    ["part_id", "sku", "category", "manufacturer"],
     {
         "avg_list_price": "AVG(list_price_usd)",
         "avg_paid_price": "AVG(avg_paid_usd)",
@@ -45,7 +46,7 @@ PRICING_BENCHMARK = _view(
 REORDER_NEEDED = _view(
     "mv_reorder_needed",
     "parts.gold_reorder_needed",
-    "part_id sku category warehouse",
+    ["part_id", "sku", "category", "warehouse"],
     {
         "open_reorders": "COUNT(*)",
         "total_shortfall_qty": "SUM(shortfall_qty)",
@@ -55,13 +56,13 @@ REORDER_NEEDED = _view(
 PART_DEMAND = _view(
     "mv_part_demand",
     "service_ops.gold_part_demand_monthly",
-    "part_id month",
+    ["part_id", "month"],
     {"work_orders": "SUM(work_orders)", "avg_duration_hours": "AVG(avg_duration_hours)"},
 )
 SLA_PERFORMANCE = _view(
     "mv_sla_performance",
     "service_ops.gold_sla_performance",
-    "priority",
+    ["priority"],
     {
         "closed_orders": "SUM(closed_orders)",
         "orders_meeting_sla": "SUM(orders_meeting_sla)",

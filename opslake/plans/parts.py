@@ -70,9 +70,13 @@ def generated_at(as_of: datetime | str | None) -> Column:
 
 
 def paid_stats(purchases: DataFrame) -> DataFrame:
-    """What was paid per part. Counts rows, not distinct purchases."""
+    """What was paid per part. Counts rows, not distinct purchases.
+
+    The mean is taken over decimals of ten places, so it does not depend on the order in
+    which rows are added.
+    """
     return purchases.groupBy("part_id").agg(
-        F.avg("net_unit_price_usd").alias("avg_paid_usd"),
+        F.avg(F.col("net_unit_price_usd").cast("decimal(28,10)")).cast("double").alias("avg_paid_usd"),
         F.min("net_unit_price_usd").alias("best_paid_usd"),
         F.count("purchase_id").alias("purchase_count"),
         F.max("purchased_at").alias("last_purchase_at"),
@@ -89,8 +93,15 @@ def gold_part_pricing_benchmark(parts: DataFrame, purchases: DataFrame) -> DataF
     ).join(paid_stats(purchases), "part_id", "left")
     savings = business.savings_vs_list(F.col("list_price_usd"), F.col("avg_paid_usd"))
     return priced.select(
-        *["part_id", "sku", "part_name", "category", "manufacturer"],
-        *[F.round(c, 2).alias(c) for c in ("list_price_usd", "avg_paid_usd", "best_paid_usd")],
+        # The columns of the result.
+        "part_id",
+        "sku",
+        "part_name",
+        "category",
+        "manufacturer",
+        F.round("list_price_usd", 2).alias("list_price_usd"),
+        business.cents(F.col("avg_paid_usd")).alias("avg_paid_usd"),
+        business.cents(F.col("best_paid_usd")).alias("best_paid_usd"),
         "purchase_count",
         F.round(savings, 4).alias("savings_vs_list_pct"),
         "last_purchase_at",
@@ -122,8 +133,17 @@ def gold_reorder_needed(
         F.round("list_price_usd", 2).alias("list_price_usd"),
     )
     return low.join(catalogue, "part_id", "left").select(
-        *["part_id", "sku", "part_name", "category", "manufacturer", "warehouse"],
-        *["on_hand_qty", "reorder_point", "list_price_usd", "shortfall_qty"],
+        # The columns of the result.
+        "part_id",
+        "sku",
+        "part_name",
+        "category",
+        "manufacturer",
+        "warehouse",
+        "on_hand_qty",
+        "reorder_point",
+        "list_price_usd",
+        "shortfall_qty",
         generated_at(as_of).alias("generated_at"),
     )
 
@@ -133,5 +153,14 @@ def parts_searchable(parts: DataFrame) -> DataFrame:
     description = business.part_description(
         *[F.col(c) for c in ("part_name", "category", "manufacturer", "hazmat_flag", "list_price_usd")]
     )
-    shown = ["part_id", "sku", "part_name", "category", "manufacturer", "list_price_usd"]
-    return parts.select(*shown, "hazmat_flag", description.alias("description"))
+    return parts.select(
+        # The columns of the result.
+        "part_id",
+        "sku",
+        "part_name",
+        "category",
+        "manufacturer",
+        "list_price_usd",
+        "hazmat_flag",
+        description.alias("description"),
+    )

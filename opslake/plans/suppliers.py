@@ -85,7 +85,11 @@ def supplier_spend(purchases: DataFrame) -> DataFrame:
     counted = distinct.groupBy("__supplier").agg(F.count("purchase_id").alias("purchase_count"))
     same = F.col("supplier_id").eqNullSafe(F.col("__supplier"))
     return money.join(counted, same).select(
-        *["supplier_id", "total_spend_usd", "purchase_count", "avg_net_price_usd"],
+        # The columns of the result.
+        "supplier_id",
+        "total_spend_usd",
+        "purchase_count",
+        "avg_net_price_usd",
         "last_purchase_at",
     )
 

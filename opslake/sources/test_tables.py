@@ -63,11 +63,12 @@ def raw_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE s_suppkey % 3 WHEN 0 THEN 'Preferred' WHEN 1 THEN 'Approved' ELSE 'Probation' END AS tier",
         "CASE WHEN s_suppkey % 20 = 7 THEN 1.4D ELSE 0.82D + CAST(s_suppkey % 18 AS DOUBLE) / 100 END"
         " AS on_time_rate",
-        "CAST(50 + (s_suppkey * 37) % 3951 AS INT) AS defect_rate_ppm",
+        "CASE WHEN s_suppkey % 10 = 3 THEN -1 ELSE CAST(50 + (s_suppkey * 37) % 3951 AS INT) END"
+        " AS defect_rate_ppm",
         "concat(CAST(10 + s_suppkey % 90 AS STRING), '-',"
         " CAST(1000000 + s_suppkey * 7919 % 9000000 AS STRING)) AS tax_id",
         "concat('ops', s_suppkey, '@supplier', s_suppkey, '.example.com') AS contact_email",
-        "CASE WHEN s_suppkey % 14 = 0 THEN 0 ELSE 1 END AS active",
+        "CASE WHEN s_suppkey % 10 = 5 THEN 2 WHEN s_suppkey % 14 = 0 THEN 0 ELSE 1 END AS active",
     )
 
 
@@ -77,21 +78,24 @@ def raw_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey AS part_id",
         "l_suppkey AS supplier_id",
         "CASE WHEN (l_orderkey * 7 + l_linenumber) % 200 = 0 THEN -1 ELSE CAST(l_quantity AS INT) END AS qty",
-        "l_extendedprice / l_quantity AS unit_price_usd",
+        "CASE WHEN (l_orderkey * 3 + l_linenumber) % 250 = 1 THEN 0D"
+        " ELSE l_extendedprice / l_quantity END AS unit_price_usd",
         "CAST(l_shipdate AS TIMESTAMP) AS purchased_at",
-        "l_discount AS discount_pct",
+        "CASE WHEN (l_orderkey * 11 + l_linenumber) % 300 = 2 THEN 1.5D ELSE l_discount END AS discount_pct",
     )
 
 
 def raw_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS part_id",
-        "concat('PS-', upper(substring(p_type, 1, 3)), '-', lpad(CAST(p_partkey AS STRING), 6, '0')) AS sku",
+        "CASE WHEN p_partkey % 33 = 8 THEN '' ELSE concat('PS-', upper(substring(p_type, 1, 3)), '-',"
+        " lpad(CAST(p_partkey AS STRING), 6, '0')) END AS sku",
         "p_name AS name",
         "p_type AS category",
         "p_brand AS manufacturer",
-        "CASE WHEN p_partkey % 33 = 0 THEN 0D ELSE p_retailprice END AS list_price_usd",
-        "CAST(p_size AS DOUBLE) / 2 AS weight_kg",
+        "CASE WHEN p_partkey % 33 = 0 THEN 0D WHEN p_partkey % 33 = 10 THEN p_retailprice * 64"
+        " ELSE p_retailprice END AS list_price_usd",
+        "CASE WHEN p_partkey % 33 = 7 THEN 0D ELSE CAST(p_size AS DOUBLE) / 2 END AS weight_kg",
         "CASE WHEN p_partkey % 33 = 5 THEN 1 ELSE 0 END AS hazmat_flag",
         "TIMESTAMP '2019-01-01 00:00:00' AS created_at",
     )
@@ -106,8 +110,10 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey * 5 + w AS inventory_id",
         "p_partkey AS part_id",
         "warehouse",
-        "CAST((p_partkey * 31 + w * 97) % 501 AS INT) AS on_hand_qty",
-        "CAST(5 + (p_partkey * 17 + w * 13) % 96 AS INT) AS reorder_point",
+        "CASE WHEN (p_partkey * 5 + w) % 97 = 13 THEN -1"
+        " ELSE CAST((p_partkey * 31 + w * 97) % 501 AS INT) END AS on_hand_qty",
+        "CASE WHEN (p_partkey * 5 + w) % 97 = 29 THEN 0"
+        " ELSE CAST(5 + (p_partkey * 17 + w * 13) % 96 AS INT) END AS reorder_point",
         "TIMESTAMP '2026-04-01 00:00:00' AS updated_at",
     )
 
@@ -119,9 +125,10 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_name AS facility_name",
         "c_mktsegment AS type",
         "r_name AS region",
-        "CAST(30 + c_custkey % 871 AS INT) AS beds",
+        "CASE WHEN c_custkey % 50 = 3 THEN 0 ELSE CAST(30 + c_custkey % 871 AS INT) END AS beds",
         "CAST(1000 + (c_custkey * 7919) % 9000 AS STRING) AS ssn_last4_contact",
-        "CASE c_custkey % 3 WHEN 0 THEN 'Gold' WHEN 1 THEN 'Silver' ELSE 'Bronze' END AS contract_tier",
+        "CASE WHEN c_custkey % 50 = 4 THEN 'Unknown' ELSE"
+        " CASE c_custkey % 3 WHEN 0 THEN 'Gold' WHEN 1 THEN 'Silver' ELSE 'Bronze' END END AS contract_tier",
     )
 
 
@@ -131,10 +138,11 @@ def raw_work_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "(o_orderkey * 13) % 200 AS part_id",
         "o_custkey AS customer_id",
         "CAST(o_orderdate AS TIMESTAMP) AS opened_at",
-        "CASE WHEN o_orderkey % 50 = 0 THEN 'cancelled' WHEN o_orderstatus = 'F' THEN 'closed'"
+        "CASE WHEN o_orderkey % 50 = 7 THEN 'unknown' WHEN o_orderkey % 50 = 0 THEN 'cancelled' WHEN o_orderstatus = 'F' THEN 'closed'"
         " WHEN o_orderstatus = 'O' THEN 'open' ELSE 'in_progress' END AS status",
-        "CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'P1' WHEN '2' THEN 'P2'"
-        " WHEN '3' THEN 'P3' ELSE 'P4' END AS priority",
+        "CASE WHEN o_orderkey % 50 = 9 THEN 'P9'"
+        " ELSE CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'P1' WHEN '2' THEN 'P2'"
+        " WHEN '3' THEN 'P3' ELSE 'P4' END END AS priority",
     )
     return ordered.selectExpr(
         "work_order_id",
