@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from opslake.checks.generate_sql import generated
 from opslake.checks.queries import raw, register
 from opslake.checks.sql import expectation_sql, table_sql, with_ctes
-from opslake.operators.quality import apply_expectations, event_log_rows
+from opslake.operators.quality import apply_expectations
 from opslake.plans.domains import DATASETS
 from opslake.plans.lakehouse import Lakehouse
 from opslake.session import scratch_path
@@ -90,10 +90,12 @@ for _name in ("purchases", "inventory", "work_orders", "suppliers", "parts", "cu
 
 @register("stream_event_log", expectation_sql(["work_orders"]))
 def stream_event_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Expectation counts that a silver stream reported while it ran."""
-    _, counts = _stream_silver(spark, sf, "work_orders")
-    expectations = DATASETS["work_orders"].expectations
-    return event_log_rows(spark, "check", "work_orders", expectations, counts).drop("run_id")
+    """The event log of a dataset after a run."""
+    root = scratch_path(spark, "event-log")
+    _land(spark, sf, "work_orders", root)
+    lakehouse = Lakehouse(spark, f"{root}/tables", f"{root}/landing")
+    lakehouse.refresh_dataset("work_orders", register=False)
+    return lakehouse.event_log().drop("run_id")
 
 
 @register(

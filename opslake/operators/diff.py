@@ -22,22 +22,38 @@ def _keyed(keys: Sequence[str]) -> Column:
     return present
 
 
+def one_per_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """One row per key: of several, the one with the largest values, column by column. Rows
+    without a whole key stay as they are."""
+    keys = _keys(key)
+    values = [c for c in df.columns if c not in keys]
+    if not values:
+        return df.filter(_keyed(keys)).distinct().unionByName(df.filter(~_keyed(keys)))
+    largest = (
+        df.filter(_keyed(keys))
+        .groupBy(*keys)
+        .agg(F.max(F.struct(*values)).alias("__row"))
+        .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in values])
+    )
+    return largest.select(*df.columns).unionByName(df.filter(~_keyed(keys)))
+
+
 def snapshot_diff(
     old: DataFrame, new: DataFrame, key: str | Sequence[str], compare: Sequence[str] | None = None
 ) -> DataFrame:
     """``change`` (insert, update or delete) with the key and the row's columns.
 
     Inserts and updates carry the new values, deletes the old ones. ``compare`` limits which
-    columns make a row count as changed; NULL equals NULL. The key is unique in each
-    snapshot, so the full outer join matches at most one row to one row. Rows without a key
-    match nothing: they are deletes and inserts, and bypass the join instead of meeting in
-    one of its tasks.
+    columns make a row count as changed; NULL equals NULL. A key that a snapshot repeats
+    counts once (``one_per_key``), so the full outer join matches at most one row to one row.
+    Rows without a key match nothing: they are deletes and inserts, and bypass the join
+    instead of meeting in one of its tasks.
     """
     keys = _keys(key)
     values = [c for c in new.columns if c not in keys]
     lost = old.filter(~_keyed(keys)).select(F.lit("delete").alias(CHANGE), *keys, *values)
     gained = new.filter(~_keyed(keys)).select(F.lit("insert").alias(CHANGE), *keys, *values)
-    old, new = old.filter(_keyed(keys)), new.filter(_keyed(keys))
+    old, new = (one_per_key(df.filter(_keyed(keys)), keys) for df in (old, new))
     compare = values if compare is None else [c for c in compare if c not in keys]
     before = old.select(
         *[F.col(k).alias(f"__old_{k}") for k in keys],

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.operators.diff import CHANGE, snapshot_diff
+from opslake.operators.diff import CHANGE, one_per_key, snapshot_diff
 from opslake.session import scratch_path
 
 EMBEDDING = "embedding"
@@ -101,7 +101,8 @@ def sync_index(
 
     Rows whose text is new or changed are embedded, rows gone from the source are gone, and
     the others keep their vector; a row whose other columns changed keeps its vector too.
-    Running it again embeds nothing. Rows without a key cannot be indexed.
+    Running it again embeds nothing and returns ``index`` itself. Rows without a key cannot be
+    indexed; of rows that repeat a key the largest counts (``one_per_key``).
 
     The comparison moves keys, texts and columns but no vectors. Its result, which is as large
     as the change, is written to the scratch folder once; the index is then filtered by it,
@@ -109,14 +110,18 @@ def sync_index(
     """
     kept = [c for c in (columns or source.columns) if c not in (key, text)]
     current = source.filter(F.col(key).isNotNull()).select(key, text, *kept)
+    current = one_per_key(current, key)
     if index is None:
         return embedder.transform(current, text)
 
     spark = source.sparkSession
+    known = index
     index = index.filter(F.col(EMBEDDING).isNotNull()).select(key, text, *kept, EMBEDDING)
     path = scratch_path(spark, "index-changes")
     snapshot_diff(index.drop(EMBEDDING), current, key).write.parquet(path)
     changes = spark.read.parquet(path)
+    if changes.isEmpty():
+        return known
 
     upserts = changes.filter(F.col(CHANGE) != "delete").select(key, text, *kept)
     replaced = index.join(upserts.select(key), key, "left_semi").select(

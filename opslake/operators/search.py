@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from opslake.operators.embedding import EMBEDDING, TextEmbedder
+from opslake.session import scratch_path
 
 # Tasks receive these functions with the job, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -331,17 +332,22 @@ def search_approx(
     """``search`` over the rows that share a bucket with the query.
 
     ``index`` carries ``buckets`` (``LshBuckets.assign``), best stored with it. Rows that share
-    none are dropped in the scan, before any score is computed. A query with fewer than k
+    none are dropped in the scan, before any score is computed. Queries without an id are
+    left out. A query with fewer than k
     candidates is answered by the exact search. Query sets beyond one block are too.
     """
     shown = _columns_of(index, key, columns)
+    queries = queries.filter(F.col(QUERY_ID).isNotNull())
     asked = lsh.assign(queries.select(QUERY_ID, EMBEDDING))
     rows = asked.select(QUERY_ID, EMBEDDING, BUCKETS).limit(BLOCK_QUERIES + 1).toArrow()
     if not 0 < rows.num_rows <= BLOCK_QUERIES:
         return search(index, queries, k, columns, key)
     probed = pc.unique(pc.list_flatten(rows.column(BUCKETS))).to_pylist()
     near = index.filter(F.arrays_overlap(BUCKETS, F.array(*[F.lit(c) for c in probed])))
-    found = _scan_search(near, asked, rows, k, key, shown).persist()
+    found = _scan_search(near, asked, rows, k, key, shown)
+    path = scratch_path(index.sparkSession, "lsh-found")
+    found.write.parquet(path)
+    found = index.sparkSession.read.schema(found.schema).parquet(path)
     counts = dict(found.groupBy(QUERY_ID).count().collect())  # one row per query
     short = [q for q in rows.column(QUERY_ID).to_pylist() if counts.get(q, 0) < k]
     if not short:

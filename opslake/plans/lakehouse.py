@@ -23,7 +23,12 @@ from opslake.operators.governance import (
     masked_view,
     tag_columns,
 )
-from opslake.operators.quality import EVENT_LOG_SCHEMA, apply_expectations, event_log_rows
+from opslake.operators.quality import (
+    EVENT_LOG_SCHEMA,
+    apply_expectations,
+    event_log_rows,
+    settle_event_log,
+)
 from opslake.operators.search import search_text
 from opslake.plans import feeds, parts, service_ops, suppliers
 from opslake.plans.contracts import Dataset
@@ -201,10 +206,7 @@ class Lakehouse:
         name = f"{spec.domain}.silver_{dataset}"
         tagged = tag_columns(checked, COLUMN_TAGS.get(name, {}))
         batches = write_stream(tagged, silver, silver_checkpoint)
-        if batches:
-            event_log_rows(spark, run_id, dataset, spec.expectations, batches).coalesce(
-                1
-            ).write.mode("append").parquet(self.event_log_path)
+        self._log_counts(spec, known.generation, bronze, schema, batches, run_id)
 
         rows = read_table(spark, silver, tagged.schema)
         if not register:
@@ -228,6 +230,27 @@ class Lakehouse:
         )
         return rows
 
+    def _log_counts(
+        self,
+        spec: Dataset,
+        generation: int,
+        bronze: str,
+        schema: StructType,
+        batches: list[dict],
+        run_id: str,
+    ) -> None:
+        """Add this run's expectation counts, and what an earlier run could not add."""
+        fresh = event_log_rows(self.spark, run_id, spec.name, spec.expectations, batches)
+        rows = spec.project(read_table(self.spark, bronze, schema))
+        path = f"{self.event_log_path}/dataset={spec.name}/generation={generation}"
+        empty = self.spark.createDataFrame([], EVENT_LOG_SCHEMA)
+        empty.write.mode("append").parquet(path)  # so that the folder exists
+        log = self.spark.read.schema(EVENT_LOG_SCHEMA).parquet(path)
+        added = settle_event_log(log, fresh, rows, spec.expectations)
+        added = added.filter("passed <> 0 or failed <> 0").coalesce(1)
+        if not added.isEmpty():
+            added.write.mode("append").parquet(path)
+
     def run_domain(
         self,
         domain: str,
@@ -283,6 +306,8 @@ class Lakehouse:
             embedder = TfIdfEmbedder.load(self.model_path)
         index = spark.table(INDEX_TABLE) if known else None
         synced = sync_index(index, source, embedder, "part_id", INDEX_TEXT)
+        if synced is index:  # nothing changed, so nothing is written
+            return index
         return materialize(
             synced,
             INDEX_TABLE,
@@ -318,7 +343,8 @@ class Lakehouse:
 
     def event_log(self) -> DataFrame:
         """Passed and failed counts per run, dataset and expectation."""
-        return self.spark.read.schema(EVENT_LOG_SCHEMA).parquet(self.event_log_path)
+        reader = self.spark.read.schema(EVENT_LOG_SCHEMA).option("recursiveFileLookup", True)
+        return reader.parquet(self.event_log_path)
 
     def run(
         self, as_of: datetime | str | None = None, full: bool = False, learn: bool = False

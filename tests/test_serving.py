@@ -228,3 +228,15 @@ def test_sync_refreshes_other_columns_without_embedding(spark):
     index = sync_index(None, source, embedder, "part_id", "description")
     row = sync_index(index, source.withColumn("price", F.lit(2.0)), ModelEmbedder(None), "part_id", "description").head()
     assert row.price == 2.0 and row.embedding == [1.0, 1.0]
+
+
+def test_sync_keeps_one_row_per_repeated_key(spark):
+    embedder = ModelEmbedder(lambda batch: np.array([[len(t), 1.0] for t in batch]))
+    source = texts(spark, [(1, "old"), (1, "newest"), (1, "old"), (2, "other"), (None, "lost")])
+    index = sync_index(None, source, embedder, "part_id", "description")
+    for _ in range(3):
+        synced = sync_index(index, source, ModelEmbedder(None), "part_id", "description")
+        assert synced is index and index.count() == 2
+    assert {r.description for r in index.collect()} == {"old", "other"}
+    changes = snapshot_diff(source, source.union(source), "part_id")
+    assert changes.filter("part_id is not null").count() == 0
