@@ -3,7 +3,7 @@
 The index is scanned where it lies: each task scores its rows against all queries of a block
 with one matrix product and passes on at most k rows per query, so what is shuffled grows
 with tasks x queries x k and never with the index. A query block is sent to the tasks only
-up to a fixed size; larger query sets meet the index block by block through a shuffle.
+up to a fixed size; larger query sets are several blocks and as many scans.
 
 Scores are rounded to nine places, so that equal vectors tie exactly; ties go to the lower key.
 """
@@ -14,6 +14,7 @@ import math
 import sys
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,6 @@ BLOCK_QUERIES = 2048
 BLOCK_BYTES = 64 << 20
 # Scores held at once by a task (32 MB of doubles).
 SCORE_CELLS = 4 << 20
-# Index rows of one shuffled block (only used beyond one query block).
-BLOCK_INDEX_ROWS = 50_000
 _SLOT = "__slot"
 
 
@@ -173,7 +172,7 @@ def _with_ids(top: pa.Table, ids: pa.Array, columns: Sequence[str]) -> pa.Table:
     )
 
 
-def _scan_search(
+def _scan(
     index: DataFrame,
     queries: DataFrame,
     rows: pa.Table,
@@ -181,7 +180,7 @@ def _scan_search(
     key: str,
     columns: list[str],
 ) -> DataFrame:
-    """One pass over the index with all queries in hand."""
+    """The best rows of every task, from one pass over the index with a block of queries."""
     ids = rows.column(QUERY_ID).combine_chunks()
     buckets = BUCKETS in rows.column_names
     vectors = _unit(_matrix(rows.column(EMBEDDING)))
@@ -194,56 +193,24 @@ def _scan_search(
         if top is not None:
             yield from _with_ids(top, ids, columns).combine_chunks().to_batches()
 
-    found = index.select(*needed).mapInArrow(scan, _result_schema(index, queries, columns))
-    return _rank(found, k, key, columns)
+    return index.select(*needed).mapInArrow(scan, _result_schema(index, queries, columns))
 
 
-def _block_search(
-    index: DataFrame, queries: DataFrame, k: int, key: str, columns: list[str], block_queries: int
-) -> DataFrame:
-    """Query blocks meet index blocks: each pair is one group of bounded size on each side.
+def _query_blocks(queries: DataFrame, block_queries: int) -> Iterator[pa.Table]:
+    """The queries in blocks of bounded rows and bytes, each brought to the driver by itself.
 
-    Rows are placed by a hash of their whole content: the same after a retry, and spread even
-    if a key repeats.
+    Rows are placed by a hash of their whole content, which is the same after a retry.
     """
-    query_blocks = max(1, math.ceil(queries.count() / block_queries))
-    index_blocks = max(1, math.ceil(index.count() / BLOCK_INDEX_ROWS))
-
-    def every(n: int, name: str):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
-
-    def block(names: list[str], n: int, alias: str):
-        return F.pmod(F.xxhash64(*names), F.lit(n)).cast("int").alias(alias)
-
-    needed = list(dict.fromkeys([*columns, EMBEDDING]))
-    asked = [QUERY_ID, EMBEDDING]
-    left = queries.select(*asked, block(asked, query_blocks, "__q")).select(
-        "*", every(index_blocks, "__i")
-    )
-    right = index.select(*needed, block(needed, index_blocks, "__i")).select(
-        "*", every(query_blocks, "__q")
-    )
-    schema = _result_schema(index, queries, columns)
-
-    def meet(asked_rows: pa.Table, stored: pa.Table) -> pa.Table:
-        names = [QUERY_ID, *columns, SCORE]
-        queries_here = (
-            QueryBlock(_unit(_matrix(asked_rows.column(EMBEDDING)))) if asked_rows.num_rows else None
-        )
-        chunks = stored.to_batches(max_chunksize=10_000)
-        top = _local_top(chunks, queries_here, k, key, columns) if queries_here and chunks else None
-        ids = asked_rows.column(QUERY_ID).combine_chunks()
-        if top is None:
-            types = [ids.type] + [stored.schema.field(c).type for c in columns] + [pa.float64()]
-            return pa.table([pa.array([], t) for t in types], names=names)
-        return _with_ids(top, ids, columns)
-
-    found = (
-        left.groupBy("__q", "__i")
-        .cogroup(right.groupBy("__q", "__i"))
-        .applyInArrow(meet, schema)
-    )
-    return _rank(found, k, key, columns)
+    first = queries.head()
+    if first is None:
+        return
+    fit = max(1, min(block_queries, BLOCK_BYTES // (8 * max(1, len(first[EMBEDDING])))))
+    blocks = math.ceil(queries.count() / fit)
+    place = F.pmod(F.xxhash64(*queries.columns), F.lit(blocks))
+    for number in range(blocks):
+        rows = queries.filter(place == number).toArrow()
+        for start in range(0, rows.num_rows, fit):
+            yield rows.slice(start, fit)
 
 
 def search(
@@ -257,16 +224,15 @@ def search(
     """The k most similar index rows of every query: query_id, rank, key, columns, score.
 
     ``index`` has ``key`` and ``embedding``; ``queries`` has ``query_id`` and ``embedding``.
+    Every block of queries is one scan of the index where it lies; no index row is shuffled.
     """
     shown = _columns_of(index, key, columns)
     asked = queries.select(QUERY_ID, EMBEDDING).filter(F.col(EMBEDDING).isNotNull())
-    rows = asked.limit(block_queries + 1).toArrow()
-    if not rows.num_rows:
-        nothing = index.sparkSession.createDataFrame([], _result_schema(index, asked, shown))
-        return _rank(nothing, k, key, shown)
-    if rows.num_rows > block_queries or _matrix(rows.column(EMBEDDING)).nbytes > BLOCK_BYTES:
-        return _block_search(index, asked, k, key, shown, block_queries)
-    return _scan_search(index, asked, rows, k, key, shown)
+    blocks = _query_blocks(asked, block_queries)
+    found = [_scan(index, asked, rows, k, key, shown) for rows in blocks]
+    if not found:
+        found = [index.sparkSession.createDataFrame([], _result_schema(index, asked, shown))]
+    return _rank(reduce(DataFrame.unionByName, found), k, key, shown)
 
 
 def search_text(
@@ -332,26 +298,26 @@ def search_approx(
     """``search`` over the rows that share a bucket with the query.
 
     ``index`` carries ``buckets`` (``LshBuckets.assign``), best stored with it. Rows that share
-    none are dropped in the scan, before any score is computed. Queries without an id are
-    left out. A query with fewer than k
-    candidates is answered by the exact search. Query sets beyond one block are too.
+    none with any query of a block are dropped in the scan, before any score is computed. A
+    query with fewer than k candidates is answered by the exact search. Queries without an id
+    are left out. How much of the index the buckets drop depends on the data: where
+    neighbours are hardly closer than other rows, it is little.
     """
     shown = _columns_of(index, key, columns)
     queries = queries.filter(F.col(QUERY_ID).isNotNull())
-    asked = lsh.assign(queries.select(QUERY_ID, EMBEDDING))
-    rows = asked.select(QUERY_ID, EMBEDDING, BUCKETS).limit(BLOCK_QUERIES + 1).toArrow()
-    if not 0 < rows.num_rows <= BLOCK_QUERIES:
+    asked = lsh.assign(queries.select(QUERY_ID, EMBEDDING)).select(QUERY_ID, EMBEDDING, BUCKETS)
+    parts = []
+    for rows in _query_blocks(asked, BLOCK_QUERIES):
+        probed = pc.unique(pc.list_flatten(rows.column(BUCKETS))).to_pylist()
+        near = index.filter(F.arrays_overlap(BUCKETS, F.array(*[F.lit(c) for c in probed])))
+        parts.append(_scan(near, asked, rows, k, key, shown))
+    if not parts:
         return search(index, queries, k, columns, key)
-    probed = pc.unique(pc.list_flatten(rows.column(BUCKETS))).to_pylist()
-    near = index.filter(F.arrays_overlap(BUCKETS, F.array(*[F.lit(c) for c in probed])))
-    found = _scan_search(near, asked, rows, k, key, shown)
+    found = _rank(reduce(DataFrame.unionByName, parts), k, key, shown)
     path = scratch_path(index.sparkSession, "lsh-found")
     found.write.parquet(path)
     found = index.sparkSession.read.schema(found.schema).parquet(path)
-    counts = dict(found.groupBy(QUERY_ID).count().collect())  # one row per query
-    short = [q for q in rows.column(QUERY_ID).to_pylist() if counts.get(q, 0) < k]
-    if not short:
-        return found
-    rest = queries.filter(F.col(QUERY_ID).isin(short))
+    answered = found.groupBy(QUERY_ID).count().filter(F.col("count") >= k).select(QUERY_ID)
+    rest = queries.join(answered, QUERY_ID, "left_anti")
     exact = search(index, rest, k, columns, key)
-    return found.filter(~F.col(QUERY_ID).isin(short)).unionByName(exact)
+    return found.join(answered, QUERY_ID, "left_semi").select(*exact.columns).unionByName(exact)

@@ -146,11 +146,15 @@ def test_exact_search_equals_brute_force(spark, index, vectors):
     assert all(r.name == f"name {r.part_id}" for r in got.collect())
 
 
-def test_block_search_equals_brute_force(spark, index, vectors, monkeypatch):
-    monkeypatch.setattr(search, "BLOCK_INDEX_ROWS", 150)
+def test_blocks_of_queries_scan_the_index_where_it_lies(spark, index, vectors, monkeypatch):
     queries = vectors[::10]
     got = search.search(index, ask(spark, queries), 4, ["name"], block_queries=13)
     assert found(got) == brute_force(vectors, queries, 4)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") > 2 and "hashpartitioning" not in plan[plan.index("MapInArrow") :]
+    monkeypatch.setattr(search, "BLOCK_BYTES", 8 * len(queries[0]) * 7)
+    bound = search.search(index, ask(spark, queries), 4, ["name"])
+    assert found(bound) == brute_force(vectors, queries, 4)
 
 
 def test_search_edges(spark, index, vectors):
@@ -174,6 +178,14 @@ def test_lsh_recall_on_the_test_vectors(spark, sf):
     assert recall >= 0.9
 
 
+def test_a_query_without_an_id_costs_no_other_its_results(spark, index, vectors):
+    lsh = search.LshBuckets.fit(index.filter("embedding is not null"))
+    asked = ask(spark, vectors[[3, 5]])
+    nameless = asked.limit(1).withColumn("query_id", F.lit(None).cast(asked.schema["query_id"].dataType))
+    got = found(search.search_approx(lsh.assign(index), asked.unionByName(nameless), lsh, 5))
+    assert len(got) == len(brute_force(vectors, vectors[[3, 5]], 5))
+
+
 def test_lsh_falls_back_to_exact_for_lonely_queries(spark, index, vectors):
     lsh = search.LshBuckets.fit(index.filter("embedding is not null"), bucket_length=0.05, tables=1)
     queries = vectors[[3, 5]] * 40
