@@ -51,11 +51,12 @@ def get_session(
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path in the cluster's shared checkpoint folder.
 
-    Only a local session without ``spark.checkpoint.dir`` falls back to a temporary folder.
+    Only a session in one process (``local`` or ``local[n]``) without ``spark.checkpoint.dir``
+    falls back to a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if spark.conf.get("spark.master", "local").partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="opslake-")
     return f"{base.rstrip('/')}/opslake/{label}-{uuid.uuid4().hex}"
