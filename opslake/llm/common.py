@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from opslake.session import scratch_path
 
 ROW = "__row"
+SPLITS = "spark.sql.files.minPartitionNum"
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
 
@@ -33,8 +34,13 @@ def with_row(df: DataFrame) -> DataFrame:
     """``df`` with a row id in ``__row``.
 
     The id follows from the place of the row in its partition, so two uses agree as long as
-    ``df`` reads stored tables; operators write what they derive before they use it twice.
+    ``df`` reads stored tables that are split alike. How files are split depends on the cores
+    at hand, which change when executors come or go; so the number that Spark splits by is
+    held for the session, unless it is set already.
     """
+    spark = df.sparkSession
+    if spark.conf.get(SPLITS, None) is None:
+        spark.conf.set(SPLITS, str(spark.sparkContext.defaultParallelism))
     return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
