@@ -52,7 +52,7 @@ from lineitem""")
 
 cte("raw_parts", "", """
 select p_partkey as part_id,
- case when p_partkey % 33 = 8 then '' else 'PS-' || upper(substring(p_type, 1, 3)) || '-' || lpad(cast(p_partkey as varchar), 6, '0') end as sku,
+ case when p_partkey % 33 = 8 then null else 'PS-' || upper(substring(p_type, 1, 3)) || '-' || lpad(cast(p_partkey as varchar), 6, '0') end as sku,
  p_name as name, p_type as category, p_brand as manufacturer,
  case when p_partkey % 33 = 0 then cast(0 as double) when p_partkey % 33 = 10 then p_retailprice * 64 else p_retailprice end as list_price_usd,
  case when p_partkey % 33 = 7 then cast(0 as double) else cast(p_size as double) / 2 end as weight_kg, case when p_partkey % 33 = 5 then 1 else 0 end as hazmat_flag,

@@ -88,7 +88,7 @@ def raw_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS part_id",
-        "CASE WHEN p_partkey % 33 = 8 THEN '' ELSE concat('PS-', upper(substring(p_type, 1, 3)), '-',"
+        "CASE WHEN p_partkey % 33 = 8 THEN NULL ELSE concat('PS-', upper(substring(p_type, 1, 3)), '-',"
         " lpad(CAST(p_partkey AS STRING), 6, '0')) END AS sku",
         "p_name AS name",
         "p_type AS category",
