@@ -121,6 +121,8 @@ def exact_dedup(
     groups = named.groupBy("level", "name").agg(
         best.alias("best"), F.count(F.lit(1)).alias("group_size")
     )
+    # Written, so that the join deals both sides anew and can split a large group.
+    groups = stored(groups, "text-groups")
     return named.join(groups, ["level", "name"]).select(
         ROW,
         id_col,
