@@ -26,6 +26,8 @@ MIN_DOCS = 10
 MIN_CHARS = 1
 BATCHES = 4
 FANOUT = 4
+# Repeated keys, of 16 bytes each, that are sent to the tasks: 8 MB.
+BROADCAST_KEYS = 500_000
 
 
 def line_key(line: Column) -> Column:
@@ -111,6 +113,8 @@ def dedup_lines(
         found = part.select(F.explode(F.array_distinct("keys")).alias("key"))
         runs.add(found.where("key is not null").select("key.h1", "key.h2"))
     repeated = stored(runs.repeated(), "repeated-lines")
+    if repeated.count() <= BROADCAST_KEYS:
+        repeated = F.broadcast(repeated)  # else a shuffle join, which can split hot lines
 
     placed = keyed.select(ROW, F.posexplode("keys").alias("pos", "key"))
     placed = placed.where("key is not null").select(ROW, "pos", "key.h1", "key.h2")
