@@ -28,7 +28,7 @@ WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (5, 4, 3, 2, 1)
 MAX_TRAIN_DOCS = 4_000
 MAX_ENTRIES = 200_000
-# Words whose score is remembered by a task.
+# Words whose n-grams are remembered by a task.
 CACHE = 200_000
 UNKNOWN = "und"
 
@@ -77,31 +77,30 @@ class LanguageModel:
         self.tables: list[dict[str, int]] = [{} for _ in range(max(ORDERS) + 1)]
         for place, (order, entry) in enumerate(keys):
             self.tables[order][entry] = place
-        self.cache: dict[str, np.ndarray] = {}
+        self.cache: dict[str, list[int]] = {}
 
-    def _unseen(self, word: str) -> np.ndarray:
-        """Mean over the places of the word of the longest known n-gram starting there."""
+    def _unseen(self, word: str) -> list[int]:
+        """For every place of the word the longest known n-gram starting there."""
         edged = f"^{word}$"
-        total, places = np.zeros(len(self.langs)), 0
-        at = 0
-        while at < len(edged) - 1:
+        found = []
+        for at in range(len(edged) - 1):
             for order in ORDERS:
                 piece = edged[at : at + order] if order > 1 else edged[max(at, 1)]
                 if len(piece) == order and (row := self.tables[order].get(piece)) is not None:
-                    total, places = total + self.logs[row], places + 1
+                    found.append(row)
                     break
-            at += 1
-        return total / max(places, 1)
+        return found
 
-    def word(self, word: str) -> np.ndarray:
+    def entries(self, word: str) -> list[int]:
+        """The entries that score a word: its own, or those of its n-grams."""
         known = self.tables[0].get(word)
         if known is not None:
-            return self.logs[known]
+            return [known]
         found = self.cache.get(word)
         if found is None:
-            found = self._unseen(word)
-            if len(self.cache) < CACHE:
-                self.cache[word] = found
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            found = self.cache[word] = self._unseen(word)
         return found
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -109,9 +108,13 @@ class LanguageModel:
         words = Counter(WORD.findall(text.lower())) if text else None
         if not words or not self.langs:
             return UNKNOWN, 0.0
-        total = np.zeros(len(self.langs))
+        rows: list[int] = []
+        weights: list[float] = []
         for word, n in words.items():
-            total += n * self.word(word)
+            own = self.entries(word)
+            rows += own
+            weights += [n / len(own)] * len(own) if own else ()
+        total = np.array(weights) @ self.logs[rows] if rows else np.zeros(len(self.langs))
         best = int(total.argmax())
         share = np.exp(np.clip((total - total[best]), -700.0, 0.0))
         return self.langs[best], float(1.0 / share.sum())
