@@ -80,6 +80,17 @@ def _unpack(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
+def _pack_numbers(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, byte by byte of their places, which compresses better."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def _unpack_numbers(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(_unpack(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+
+
 def _pack_words(words: Sequence[bytes]) -> bytes:
     lengths = np.array([len(w) for w in words], np.uint32)
     return _pack(np.uint32(len(words)).tobytes() + lengths.tobytes() + b"".join(words))
@@ -118,7 +129,7 @@ def _split_blocks(pattern: str, shards: int, keep: Sequence[str], schema: pa.Sch
                 own = row(
                     shard=shard,
                     words=_pack_words([w for w, _ in words]),
-                    numbers=_pack(np.array([n for _, n in words], np.uint32).tobytes()),
+                    numbers=_pack_numbers(np.array([n for _, n in words], np.uint32)),
                 )
                 yield pa.RecordBatch.from_pylist([own], schema=schema)
 
@@ -133,7 +144,7 @@ def _split_blocks(pattern: str, shards: int, keep: Sequence[str], schema: pa.Sch
                 lengths = np.array([len(c) for c in codes], np.uint32)
                 own = row(
                     lengths=lengths.tobytes(),
-                    codes=_pack(np.concatenate(codes).tobytes()),
+                    codes=_pack_numbers(np.concatenate(codes)),
                     **{c: part.column(c).to_pylist() for c in keep},
                 )
                 yield pa.RecordBatch.from_pylist([own], schema=schema)
@@ -162,8 +173,8 @@ def _encode_shard(ranks, pattern: str):
                 if own is None:
                     own = known[word] = np.array(coder._encode_single_piece(word), np.uint32)
                 found.append(own)
-            lengths.append(_pack(np.array([len(f) for f in found], np.uint32).tobytes()))
-            ids.append(_pack(np.concatenate(found).tobytes()))
+            lengths.append(_pack_numbers(np.array([len(f) for f in found], np.uint32)))
+            ids.append(_pack_numbers(np.concatenate(found)))
         return pa.table(
             {
                 "block": table["block"],
@@ -189,7 +200,7 @@ def _assemble(keep: Sequence[str], schema: pa.Schema, ranks):
     def run(key: tuple, texts: pa.Table, words: pa.Table) -> Iterator[pa.RecordBatch]:
         numbers, sizes, ids = (
             np.concatenate(
-                [np.frombuffer(_unpack(v.as_py()), np.uint32) for v in words[c]]
+                [_unpack_numbers(v.as_py()) for v in words[c]]
                 or [np.empty(0, np.uint32)]
             )
             for c in ("numbers", "sizes", "ids")
@@ -203,7 +214,7 @@ def _assemble(keep: Sequence[str], schema: pa.Schema, ranks):
         for row in texts.to_batches():
             for i in range(row.num_rows):
                 lengths = np.frombuffer(row.column("lengths")[i].as_py(), np.uint32)
-                codes = np.frombuffer(_unpack(row.column("codes")[i].as_py()), np.uint32)
+                codes = _unpack_numbers(row.column("codes")[i].as_py())
                 flat = ids[_ragged(start[codes], size[codes])]
                 # Tokens before each text: of the words up to its end, less those before.
                 words_before = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
