@@ -3,25 +3,28 @@
 The text view sees words and how they are used; the metadata view sees source, language,
 size and layout. Both are logistic regressions fitted on the labelled rows. In each round
 either view labels documents of an unlabelled pool; those it is sure of train the other view
-in the next round, unless that view leans the other way. In the end each view is calibrated on labelled rows kept out of training,
-a last regression combines the two calibrated views, and all documents are scored whole.
+in the next round, unless that view leans the other way. In the end each view is calibrated
+on labelled rows kept out of training, a last regression combines the two calibrated views,
+and all documents are scored whole.
 
 Fitting uses bounded samples, chosen by hash: ``max_labelled`` labelled rows and ``max_pool``
-pool rows. Scoring is a projection of the scan; nothing of the corpus is shuffled.
+pool rows, of which the driver gets word numbers and statistics, no texts. Scoring reads the
+documents where they are scanned; nothing of the corpus is shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, FeatureHasher, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.common import ROW, stored, with_row
+from opslake.llm.common import ROW, map_arrow, stored, with_row
 
 MAX_LABELLED = 8_000
 MAX_POOL = 8_000
@@ -30,129 +33,192 @@ SURE = 0.98
 VOCABULARY = 20_000
 MIN_DOCS = 3
 THRESHOLD = 0.5
-MAX_ITERATIONS = 50
-# Partitions of the bounded sample that the regressions are fitted on.
-FIT_PARTITIONS = 4
-
-TOKEN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
-TEXT_NUMBERS = ["distinct_share", "symbol_share", "mean_word"]
-META_NUMBERS = ["log_chars", "log_lines", "line_chars", "line_share"]
-META_NAMES = ["source", "lang"]
-
-
-def _share(part: Column, whole: Column) -> Column:
-    return part.cast("double") / F.greatest(whole, F.lit(1))
-
-
-def _views(docs: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Row id, the kept columns as ``__kept``, words and the numbers of both views. Missing columns count as null."""
-    names = [c if c in docs.columns else None for c in META_NAMES]
-    kept = [F.struct(*keep).alias("__kept")] if keep else []
-    source = docs.select(
-        ROW,
-        *kept,
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-        *(
-            F.coalesce(F.col(c).cast("string") if c else F.lit(None).cast("string"), F.lit("")).alias(n)
-            for c, n in zip(names, META_NAMES)
-        ),
-    )
-    tokens = F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0))
-    lines = F.split("text", "\n")
-    split = source.withColumns({"tokens": tokens, "lines": lines, "chars": F.char_length("text")})
-    return split.select(
-        ROW,
-        *(["__kept"] if keep else []),
-        "tokens",
-        *META_NAMES,
-        _share(F.size(F.array_distinct("tokens")), F.size("tokens")).alias("distinct_share"),
-        _share(F.regexp_count("text", F.lit(r"[^\s\p{L}\p{N}]")), F.col("chars")).alias("symbol_share"),
-        (_share(F.col("chars"), F.size("tokens")) / 10).alias("mean_word"),
-        F.log1p("chars").alias("log_chars"),
-        F.log1p(F.size("lines")).alias("log_lines"),
-        F.log1p(_share(F.col("chars"), F.size("lines"))).alias("line_chars"),
-        _share(F.size(F.array_distinct("lines")), F.size("lines")).alias("line_share"),
-    )
+PENALTY = 1e-3
+ITERATIONS = 100
+# Slots that names of sources and languages are hashed into.
+NAME_SLOTS = 4096
 
+TOKEN = regex.compile(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+")
+META_NAMES = ("source", "lang")
+VIEWS = ("text", "meta")
 
-@dataclass
-class Featurizer:
-    """Vectors of both views, from the same words and settings at fitting and scoring."""
 
-    words: CountVectorizerModel
+def tokens_of(text: str) -> list[str]:
+    return TOKEN.findall(text.lower())
 
-    def __call__(self, views: DataFrame) -> DataFrame:
-        text = VectorAssembler(inputCols=["words", *TEXT_NUMBERS], outputCol="text_view")
-        hasher = FeatureHasher(
-            inputCols=META_NAMES, outputCol="names", numFeatures=1 << 12, categoricalCols=META_NAMES
-        )
-        meta = VectorAssembler(inputCols=["names", *META_NUMBERS], outputCol="meta_view")
-        return meta.transform(hasher.transform(text.transform(self.words.transform(views))))
+
+def text_numbers(text: str, tokens: list[str]) -> list[float]:
+    """Share of distinct words, share of symbols, mean length of a word."""
+    symbols = sum(len(t) for t in tokens if not t[0].isalnum())
+    n = max(1, len(tokens))
+    return [len(set(tokens)) / n, symbols / max(1, len(text)), len(text) / n / 10]
+
+
+def meta_numbers(text: str) -> list[float]:
+    """Size, lines, length of a line, share of distinct lines."""
+    lines = text.split("\n")
+    size = np.log1p([len(text), len(lines), len(text) / len(lines)])
+    return [*(size / 10).tolist(), len(set(lines)) / len(lines)]
 
 
-VIEWS = ["text", "meta"]
+def name_slots(names: Sequence[str | None]) -> list[int]:
+    """A slot for each name, with the kind of name; a missing name has none."""
+    return [
+        zlib.crc32(f"{kind}={name}".encode()) % NAME_SLOTS
+        for kind, name in zip(META_NAMES, names)
+        if name is not None
+    ]
 
 
-def _logit(score: Column) -> Column:
-    bounded = F.greatest(F.least(score, F.lit(1 - 1e-9)), F.lit(1e-9))
-    return F.log(bounded / (1 - bounded))
+@dataclass
+class Rows:
+    """Sparse rows: ones at the given places, and a few numbers after all places."""
+
+    places: list[np.ndarray]
+    numbers: np.ndarray
+    width: int
+
+    def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, column and value of every entry."""
+        n, extra = self.numbers.shape
+        sizes = [len(p) for p in self.places]
+        row = np.concatenate([np.repeat(np.arange(n), sizes), np.repeat(np.arange(n), extra)])
+        column = np.concatenate([*self.places, np.tile(self.width + np.arange(extra), n)])
+        value = np.concatenate([np.ones(sum(sizes)), self.numbers.ravel()])
+        return row, column.astype(np.int64), value
+
+    def take(self, rows: np.ndarray) -> Rows:
+        return Rows([self.places[i] for i in rows], self.numbers[rows], self.width)
+
+    def __add__(self, other: Rows) -> Rows:
+        return Rows(
+            self.places + other.places, np.concatenate([self.numbers, other.numbers]), self.width
+        )
 
 
-def _fit(rows: DataFrame, features: str, reg: float = 1e-3) -> LogisticRegressionModel:
-    return LogisticRegression(
-        featuresCol=features, labelCol="label", maxIter=MAX_ITERATIONS, regParam=reg
-    ).fit(rows.select(features, "label"))
+@dataclass
+class Logistic:
+    """A fitted logistic regression."""
+
+    weights: np.ndarray
+    intercept: float
+
+    @classmethod
+    def fit(cls, rows: Rows, labels: np.ndarray, penalty: float = PENALTY) -> Logistic:
+        """Least mean log loss plus an L2 penalty on weights of features of unit deviation,
+        by limited-memory BFGS."""
+        row, column, value = rows.flat()
+        n, width = len(labels), rows.width + rows.numbers.shape[1]
+        mean = np.bincount(column, value, width) / n
+        square = np.bincount(column, value**2, width) / n
+        deviation = np.sqrt(np.maximum(square - mean**2, 0))
+        scale = np.divide(1, deviation, out=np.zeros(width), where=deviation > 1e-9)
+        value = value * scale[column]
+
+        def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
+            z = np.bincount(row, value * w[column], n) + w[-1]
+            p = 1 / (1 + np.exp(-np.clip(z, -35, 35)))
+            cost = np.mean(np.logaddexp(0, z) - labels * z) + penalty / 2 * w[:-1] @ w[:-1]
+            slope = (p - labels) / n
+            down = np.bincount(column, value * slope[row], width) + penalty * w[:-1]
+            return cost, np.append(down, slope.sum())
+
+        w = minimize(loss, np.zeros(width + 1))
+        return cls(w[:-1] * scale, float(w[-1]))
+
+    def probability(self, rows: Rows) -> np.ndarray:
+        row, column, value = rows.flat()
+        z = np.bincount(row, value * self.weights[column], len(rows.places)) + self.intercept
+        return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
+
+
+def minimize(loss, start: np.ndarray, steps: int = ITERATIONS, memory: int = 10) -> np.ndarray:
+    """Limited-memory BFGS with backtracking."""
+    w, (cost, slope) = start, loss(start)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        direction, kept = slope.copy(), []
+        for s, y in reversed(moves):
+            a = s @ direction / (s @ y)
+            direction -= a * y
+            kept.append(a)
+        if moves:
+            s, y = moves[-1]
+            direction *= s @ y / (y @ y)
+        for (s, y), a in zip(moves, reversed(kept)):
+            direction += s * (a - y @ direction / (s @ y))
+        step, gain = 1.0, slope @ direction
+        while True:
+            after = w - step * direction
+            new_cost, new_slope = loss(after)
+            if new_cost <= cost - 1e-4 * step * gain or step < 1e-8:
+                break
+            step /= 2
+        s, y = after - w, new_slope - slope
+        done = cost - new_cost < 1e-7 * max(1.0, abs(cost))
+        w, cost, slope = after, new_cost, new_slope
+        if done:
+            break
+        if s @ y > 1e-12:
+            moves = [*moves, (s, y)][-memory:]
+    return w
 
 
-def _probability(model: LogisticRegressionModel, rows: DataFrame, features: str, out: str) -> DataFrame:
-    """``rows`` with the model's probability of label 1."""
-    model = model.setFeaturesCol(features).setProbabilityCol("__p")
-    model = model.setRawPredictionCol("").setPredictionCol("")
-    scored = model.transform(rows)
-    return scored.withColumn(out, vector_to_array("__p")[1]).drop("__p")
+def _logits(*scores: np.ndarray) -> Rows:
+    """Scores as rows of log odds."""
+    bounded = np.clip(np.stack(scores, axis=1), 1e-9, 1 - 1e-9)
+    none = [np.empty(0, np.int64)] * len(bounded)
+    return Rows(none, np.log(bounded / (1 - bounded)), 0)
 
 
 @dataclass
 class QualityModel:
     """Both views, their calibration and the combination; or a constant without labels."""
 
-    featurize: Featurizer | None
-    views: dict[str, LogisticRegressionModel]
-    calibration: dict[str, LogisticRegressionModel]
-    combination: LogisticRegressionModel | None
+    vocabulary: dict[str, int]
+    views: dict[str, Logistic]
+    calibration: dict[str, Logistic]
+    combination: Logistic | None
     constant: float = 1.0
 
-    def _raw(self, featured: DataFrame) -> DataFrame:
-        for view in VIEWS:
-            featured = _probability(self.views[view], featured, f"{view}_view", f"{view}_raw")
-        return featured
-
-    def _calibrated(self, raw: DataFrame) -> DataFrame:
-        for view in VIEWS:
-            raw = raw.withColumn("__logit", _logit(F.col(f"{view}_raw")))
-            raw = VectorAssembler(inputCols=["__logit"], outputCol="__one").transform(raw)
-            raw = _probability(self.calibration[view], raw, "__one", f"{view}_score")
-            raw = raw.drop("__logit", "__one")
-        logits = {f"__{view}": _logit(F.col(f"{view}_score")) for view in VIEWS}
-        inputs = list(logits)
-        return VectorAssembler(inputCols=inputs, outputCol="__both").transform(
-            raw.withColumns(logits)
-        )
-
-    def score(
-        self, docs: DataFrame, text_col: str = "text", keep: Sequence[str] = ()
-    ) -> DataFrame:
-        """``__row``, the kept columns, ``text_score``, ``meta_score`` and ``score`` of rows
-        that have ``__row``."""
-        if self.featurize is None:
-            same = F.lit(self.constant)
-            names = ["text_score", "meta_score", "score"]
-            return docs.select(ROW, *keep, *(same.alias(n) for n in names))
-        both = self._calibrated(self._raw(self.featurize(_views(docs, text_col, keep))))
-        scored = _probability(self.combination, both, "__both", "score")
-        return scored.select(
-            ROW, F.col("__kept.*"), "text_score", "meta_score", "score"
-        ) if keep else scored.select(ROW, "text_score", "meta_score", "score")
+    def rows(self, texts: list[str | None], names: list[Sequence[str | None]]) -> dict[str, Rows]:
+        """Features of both views."""
+        words, numbers, metas = [], [], []
+        for text in texts:
+            tokens = tokens_of(text or "")
+            found = {self.vocabulary.get(t, -1) for t in set(tokens)} - {-1}
+            words.append(np.fromiter(sorted(found), np.int64, len(found)))
+            numbers.append(text_numbers(text or "", tokens))
+            metas.append(meta_numbers(text or ""))
+        slots = [np.array(name_slots(own), np.int64) for own in names]
+        return {
+            "text": Rows(words, np.array(numbers).reshape(-1, 3), len(self.vocabulary)),
+            "meta": Rows(slots, np.array(metas).reshape(-1, 4), NAME_SLOTS),
+        }
+
+    def calibrated(self, rows: dict[str, Rows]) -> list[np.ndarray]:
+        raw = {view: self.views[view].probability(rows[view]) for view in VIEWS}
+        return [self.calibration[view].probability(_logits(raw[view])) for view in VIEWS]
+
+    def scores(self, texts: list[str | None], names: list[Sequence[str | None]]) -> np.ndarray:
+        """Text score, metadata score and score of each document."""
+        if self.combination is None:
+            return np.full((3, len(texts)), self.constant)
+        views = self.calibrated(self.rows(texts, names))
+        return np.stack([*views, self.combination.probability(_logits(*views))])
+
+
+def _inputs(docs: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The kept columns, text and names; a missing column counts as null."""
+    names = [
+        (F.col(c) if c in docs.columns else F.lit(None)).cast("string").alias(f"__{c}")
+        for c in META_NAMES
+    ]
+    return docs.select(*keep, F.col(text_col).cast("string").alias("__text"), *names)
+
+
+def _names(batch: pa.RecordBatch) -> list[tuple]:
+    return list(zip(*(batch.column(f"__{c}").to_pylist() for c in META_NAMES)))
 
 
 def _sampled(rows: DataFrame, bound: int, size: int, salt: str, id_col: str) -> DataFrame:
@@ -161,6 +227,81 @@ def _sampled(rows: DataFrame, bound: int, size: int, salt: str, id_col: str) ->
     return rows.where(F.col(id_col).isNotNull() & (place < bound / max(size, 1)))
 
 
+def _distinct_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 200):
+            texts = batch.column("__text").slice(at, 200).to_pylist()
+            found = [t for text in texts if text for t in set(tokens_of(text))]
+            yield pa.RecordBatch.from_pydict({"token": pa.array(found, pa.string())})
+
+
+FEATURES = (
+    "label double, held boolean, words array<long>, text_numbers array<double>, "
+    "slots array<long>, meta_numbers array<double>"
+)
+
+
+def _sample_features(vocabulary: dict[str, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = QualityModel(vocabulary, {}, {}, None)
+        for batch in batches:
+            rows = model.rows(batch.column("__text").to_pylist(), _names(batch))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("label"),
+                    batch.column("held"),
+                    pa.array(rows["text"].places, pa.list_(pa.int64())),
+                    pa.array(list(rows["text"].numbers), pa.list_(pa.float64())),
+                    pa.array(rows["meta"].places, pa.list_(pa.int64())),
+                    pa.array(list(rows["meta"].numbers), pa.list_(pa.float64())),
+                ],
+                names=["label", "held", "words", "text_numbers", "slots", "meta_numbers"],
+            )
+
+    return run
+
+
+def _as_rows(table: pa.Table, places: str, numbers: str, width: int) -> Rows:
+    own = [np.asarray(p.values, np.int64) for p in table[places].combine_chunks()]
+    stacked = table[numbers].combine_chunks().flatten().to_numpy()
+    return Rows(own, stacked.reshape(len(own), -1), width)
+
+
+def cotrain(
+    rows: dict[str, Rows], labels: np.ndarray, held: np.ndarray, rounds: int, sure: float
+) -> tuple[dict, dict, Logistic]:
+    """Views, calibration and combination from rows with labels 0 and 1, and nan for the pool."""
+    known = ~np.isnan(labels)
+    fit_on, check_on = np.flatnonzero(known & ~held), np.flatnonzero(known & held)
+    # Where one class is missing in a part, the whole serves for both.
+    if len(set(labels[fit_on])) < 2 or len(set(labels[check_on])) < 2:
+        fit_on = check_on = np.flatnonzero(known)
+    pool = np.flatnonzero(~known)
+    pool_rows = {view: rows[view].take(pool) for view in VIEWS}
+    sets = {view: (rows[view].take(fit_on), labels[fit_on]) for view in VIEWS}
+    for number in range(rounds + 1):
+        views = {view: Logistic.fit(*sets[view]) for view in VIEWS}
+        if number == rounds or not len(pool):
+            break
+        p = {view: views[view].probability(pool_rows[view]) for view in VIEWS}
+        for view, other in zip(VIEWS, reversed(VIEWS)):
+            # Not against the view that is to learn it: a weak view must not mislead.
+            good = (p[other] >= sure) & (p[view] >= 0.5)
+            poor = (p[other] <= 1 - sure) & (p[view] <= 0.5)
+            chosen = np.flatnonzero(good | poor)
+            sets[view] = (
+                rows[view].take(fit_on) + pool_rows[view].take(chosen),
+                np.concatenate([labels[fit_on], good[chosen].astype(float)]),
+            )
+    model = QualityModel({}, views, {}, None)
+    own = {view: rows[view].take(check_on) for view in VIEWS}
+    for view in VIEWS:
+        raw = _logits(views[view].probability(own[view]))
+        model.calibration[view] = Logistic.fit(raw, labels[check_on])
+    both = _logits(*model.calibrated(own))
+    return views, model.calibration, Logistic.fit(both, labels[check_on])
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -183,63 +324,35 @@ def train(
     )
     labels = labels.groupBy(id_col).agg(F.min("good").cast("double").alias("label"))
     chosen = stored(_sampled(labels, max_labelled, labels.count(), "label", id_col), "labels")
-    source = docs.select(id_col, *[c for c in dict.fromkeys([text_col, *META_NAMES]) if c in docs.columns])
+    source = _inputs(docs, text_col, [id_col])
     # The chosen labels are bounded by max_labelled, so they may be sent to the tasks.
     labelled = source.join(F.broadcast(chosen), id_col)
     pool = _sampled(source, max_pool, source.count(), "pool", id_col)
     pool = pool.join(F.broadcast(chosen.select(id_col)), id_col, "left_anti")
     pool = pool.withColumn("label", F.lit(None).cast("double"))
-    both = stored(with_row(labelled.unionByName(pool)), "quality-sample")
+    held = F.pmod(F.xxhash64(F.lit("held"), id_col), F.lit(4)) == 0
+    both = labelled.unionByName(pool).withColumn("held", held)
+    both = stored(both, "quality-sample")
 
     counts = {r[0]: r[1] for r in both.groupBy("label").count().collect()}
     if not counts.get(0.0) or not counts.get(1.0):
         known = counts.get(0.0, 0) + counts.get(1.0, 0)
-        return QualityModel(None, {}, {}, None, counts.get(1.0, 0) / known if known else 1.0)
-
-    views = _views(both, text_col).join(both.select(ROW, "label"), ROW)
-    views = stored(views, "quality-views")
-    words = CountVectorizer(
-        inputCol="tokens", outputCol="words", vocabSize=VOCABULARY, minDF=MIN_DOCS, binary=True
-    ).fit(views)
-    featurize = Featurizer(words)
-    held = F.pmod(F.xxhash64(F.lit("held"), ROW), F.lit(4)) == 0
-    features = featurize(views).select(ROW, "label", "text_view", "meta_view", held.alias("held"))
-    features = stored(features.coalesce(FIT_PARTITIONS), "quality-features")
-    train_rows = features.where("label is not null and not held")
-    pool_rows = features.where("label is null")
-    # Without both classes among the rows kept out, calibrate on all labelled rows.
-    kept_out = features.where("label is not null and held")
-    if kept_out.select("label").distinct().count() < 2:
-        kept_out = features.where("label is not null")
-    if train_rows.select("label").distinct().count() < 2:
-        train_rows = features.where("label is not null")
-
-    sets = {view: train_rows for view in VIEWS}
-    for number in range(rounds + 1):
-        fitted = {view: _fit(sets[view], f"{view}_view") for view in VIEWS}
-        if number == rounds:
-            break
-        scored = pool_rows
-        for view in VIEWS:
-            scored = _probability(fitted[view], scored, f"{view}_view", f"{view}_raw")
-        scored = stored(scored, f"pseudo-labels-{number}")
-        for view, other in zip(VIEWS, reversed(VIEWS)):
-            p, own = F.col(f"{other}_raw"), F.col(f"{view}_raw")
-            # Not against the view that is to learn it: a weak view must not mislead.
-            confident = scored.where(
-                ((p >= sure) & (own >= 0.5)) | ((p <= 1 - sure) & (own <= 0.5))
-            ).withColumn("label", (p >= 0.5).cast("double"))
-            sets[view] = train_rows.unionByName(confident.select(*train_rows.columns))
-
-    model = QualityModel(featurize, fitted, {}, None)
-    raw = stored(model._raw(kept_out).select("label", "text_raw", "meta_raw"), "calibration")
-    for view in VIEWS:
-        one = VectorAssembler(inputCols=["__logit"], outputCol="__one").transform(
-            raw.withColumn("__logit", _logit(F.col(f"{view}_raw")))
-        )
-        model.calibration[view] = _fit(one, "__one")
-    model.combination = _fit(model._calibrated(raw), "__both")
-    return model
+        return QualityModel({}, {}, {}, None, counts.get(1.0, 0) / known if known else 1.0)
+
+    tokens = map_arrow(both.select("__text"), _distinct_tokens, "token string")
+    common = tokens.groupBy("token").count().where(F.col("count") >= MIN_DOCS)
+    common = common.orderBy(F.desc("count"), "token").limit(VOCABULARY)
+    vocabulary = {r["token"]: i for i, r in enumerate(common.collect())}
+    table = map_arrow(both, _sample_features(vocabulary), FEATURES).toArrow()
+    rows = {
+        "text": _as_rows(table, "words", "text_numbers", len(vocabulary)),
+        "meta": _as_rows(table, "slots", "meta_numbers", NAME_SLOTS),
+    }
+    label = table["label"].to_numpy().astype(float)
+    views, calibration, combination = cotrain(
+        rows, label, table["held"].to_numpy().astype(bool), rounds, sure
+    )
+    return QualityModel(vocabulary, views, calibration, combination)
 
 
 def quality_scores(
@@ -255,11 +368,23 @@ def quality_scores(
     ``score`` (the calibrated probability of a good document) and ``kept`` (score of at least
     ``threshold``).
 
-    Null and empty texts are scored as texts without words; missing source or language as
-    empty names. Repeated rows score alike; an empty table gives no rows.
+    Null and empty texts are scored as texts without words, missing source or language as
+    no name. Repeated rows score alike; an empty table gives no rows.
     """
     model = train(docs, labels, good, text_col, id_col, **options)
-    rows = with_row(docs)
-    ids = [c for c in (id_col,) if c != text_col]
-    scored = model.score(rows, text_col, ids)
-    return scored.withColumn("kept", F.col("score") >= threshold)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                found = sent.value.scores(part.column("__text").to_pylist(), _names(part))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), *map(pa.array, found)],
+                    names=[ROW, id_col, "text_score", "meta_score", "score"],
+                )
+
+    inputs = _inputs(with_row(docs), text_col, [ROW, id_col])
+    kind = dict(inputs.dtypes)[id_col]
+    ddl = f"{ROW} long, `{id_col}` {kind}, text_score double, meta_score double, score double"
+    return map_arrow(inputs, run, ddl).withColumn("kept", F.col("score") >= threshold)
