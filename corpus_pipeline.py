@@ -14,9 +14,9 @@ from opslake.llm import bpe
 from opslake.llm.common import ROW, load, stored, with_row
 from opslake.llm.decontaminate import benchmark_hits
 from opslake.llm.exact_dedup import exact_dedup
-from opslake.llm.near_dedup import near_groups
 from opslake.llm.quality import quality_scores
 from opslake.llm.queries import acceptable
+from opslake.llm.simhash import simhash_groups
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -39,12 +39,14 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies (five-word shingles, Jaccard similarity 0.8 or more, direct
-    or through others) the row with the smallest id stays; of rows that share it the first in
-    storage order. Documents without words are one such group."""
-    groups = stored(near_groups(docs), "near-groups")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW))
-    firsts = groups.groupBy("group").agg(first.alias("first"))
+    """Of every group of near copies (SimHash fingerprints of three-word shingles that differ in
+    at most two bits, direct or through others) the row with the smallest id stays; of rows that
+    share it the first in storage order. Documents without words are one such group. A group
+    in which no row has an id has no name; its rows stay once per fingerprint."""
+    groups = stored(simhash_groups(docs), "near-groups")
+    unnamed = F.when(F.col("component_id").isNull(), F.col("fp"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW)
+    firsts = groups.groupBy("component_id", unnamed).agg(F.min(order).alias("first"))
     return _keep(docs, firsts.select(F.col(f"first.{ROW}").alias(ROW)))
 
 

@@ -61,3 +61,13 @@ def test_pipeline_rows(spark, sf):
 def test_all_operators_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
     assert numbers == list(range(1, 11))
+
+
+def test_near_copies_without_ids_stay_once_per_fingerprint(spark, sf):
+    words = " ".join(f"w{i}" for i in range(50))
+    rows = [(None, words), (None, words), (None, "other text here"), (4, "of its own"), (3, "Of its own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, sf).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == [
+        (0, "other text here"), (0, words), (3, "Of its own")
+    ]
