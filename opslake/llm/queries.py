@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslake.llm import bpe, kneser_ney
+from opslake.llm.collocations import mine_phrases, top_phrases
 from opslake.llm.common import ROW, load, lower_ascii
 from opslake.llm.decontaminate import benchmark_hits, hit_words
 from opslake.llm.exact_dedup import exact_dedup
+from opslake.llm.hard_negatives import mine_hard_negatives
+from opslake.llm.html_text import extract_main_text
 from opslake.llm.language_id import detect_language, fold, train
 from opslake.llm.line_dedup import dedup_lines
 from opslake.llm.quality import quality_scores
@@ -189,3 +192,85 @@ def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
         "spans",
         "repeated",
     )
+
+
+OP12_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as e
+  from embeddings
+  where label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (
+  select a.vec_id as anchor_id, c.vec_id as other_id, a.label = c.label as same,
+    cast(coalesce(list_sum([p[1] * p[2] for p in list_zip(a.e, c.e)]), 0) as bigint) as score
+  from v a join v c on a.vec_id <> c.vec_id where a.vec_id % 100 = 0),
+p as (
+  select anchor_id, other_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select p.anchor_id, p.positive_id,
+  cast(row_number() over (partition by p.anchor_id, p.positive_id
+    order by s.score desc, s.other_id) as integer) as rank,
+  s.other_id as negative_id, p.positive_score, s.score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not s.same
+  and 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score
+qualify row_number() over (partition by p.anchor_id, p.positive_id
+  order by s.score desc, s.other_id) <= 10
+"""
+
+
+@register("op12_hard_negatives", OP12_SQL)
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = load(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors, F.col("vec_id") % 100 == 0, label=moved)
+
+
+OP11_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from pieces),
+f as (
+  select lang, k, phrase, count(*) as f from (
+    select lang, k,
+      unnest([array_to_string(ws[i:i + k - 1], ' ') for i in generate_series(1, len(ws) - k + 1)]) as phrase
+    from w, (select unnest([1, 2, 3, 4]) as k) where len(ws) >= k)
+  group by all),
+n as (select lang, cast(sum(f) as bigint) as n from f where k = 1 group by lang),
+c as (select *, string_split(phrase, ' ') as ws from f where k >= 2 and f >= 30),
+inside as (
+  select lang, j, array_to_string(ws[i:i + j - 1], ' ') as phrase, f
+  from (select *, unnest(generate_series(1, k - j + 1)) as i
+        from (select *, unnest(generate_series(2, k - 1)) as j from c where k > 2))),
+around as (select lang, phrase, max(f) as most from inside group by all),
+cuts as (
+  select c.lang, c.phrase, c.f as a, j, x.f as l, y.f as r,
+    cast(cast(2000000 as hugeint) * c.f // (cast(x.f as hugeint) + y.f) as bigint) as score
+  from (select *, unnest(generate_series(1, k - 1)) as j from c) c
+  join f x on x.lang = c.lang and x.phrase = array_to_string(c.ws[1:j], ' ')
+  join f y on y.lang = c.lang and y.phrase = array_to_string(c.ws[j + 1:], ' ')
+  left join around o on o.lang = c.lang and o.phrase = c.phrase
+  where o.most is null or cast(100 as hugeint) * o.most < cast(80 as hugeint) * c.f),
+best as (
+  select * from cuts
+  qualify row_number() over (partition by lang, phrase order by score, j) = 1)
+select lang, row_number() over g as rank, phrase, a, l, r, n, score
+from best join n using (lang)
+window g as (partition by lang order by score desc, a desc, phrase)
+qualify row_number() over g <= 2000
+"""
+
+
+@register("op11_collocations", OP11_SQL)
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    phrases = top_phrases(mine_phrases(load(spark, sf, "documents")))
+    return phrases.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@register("op13_html_text")
+def op13_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    pages = extract_main_text(load(spark, sf, "pages"))
+    n_chars = F.char_length("main_text").cast("long").alias("n_chars")
+    return pages.select("page_id", "url", F.col("main_text").alias("text"), n_chars)

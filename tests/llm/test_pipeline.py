@@ -60,7 +60,7 @@ def test_pipeline_rows(spark, sf):
 
 def test_all_operators_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_near_copies_without_ids_stay_once_per_fingerprint(spark, sf):
