@@ -53,20 +53,31 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
-    """Like ``stored``, in as many buckets of ``key`` as a shuffle has partitions: what groups
-    by the key reads the buckets and needs no shuffle."""
+def bucketed(
+    df: DataFrame, key: str, label: str, buckets: int | None = None, compression: str = "snappy"
+) -> DataFrame:
+    """Like ``stored``, in buckets of ``key``, as many as a shuffle has partitions unless said:
+    what groups by the key reads the buckets and needs no shuffle."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     name = f"{label}_{path[-32:]}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.bucketBy(buckets, key).option("path", path).option("compression", compression)
+    writer.saveAsTable(name)
     table = spark.table(name)
     table.schema  # resolved; the name is needed no longer, and the files stay
     spark.sql(f"drop table {name}")
     return table
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` or ``bucketed`` table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {path.rpartition("/")[0] for path in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def map_arrow(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
