@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from typing import Protocol
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslake.operators.diff import CHANGE, one_per_key, snapshot_diff
+from opslake.operators.text_index import word_id, words_of
 from opslake.session import scratch_path
+from opslake.sources.segments import SegmentedTable
 
 EMBEDDING = "embedding"
 
@@ -76,19 +78,78 @@ class ModelEmbedder:
     def transform(self, df: DataFrame, text: str, output: str = EMBEDDING) -> DataFrame:
         encode = self.encode
 
-        @F.pandas_udf("array<float>")
-        def embed(texts: pd.Series) -> pd.Series:
-            vectors = pd.Series([None] * len(texts), dtype=object)
-            present = np.flatnonzero(texts.notna().to_numpy())
-            if len(present):
-                rows = np.asarray(encode(texts.iloc[present].tolist()), dtype=np.float32)
-                for i, row in zip(present, rows):
-                    vectors.iloc[i] = row
-            return vectors
+        @F.arrow_udf("array<float>")
+        def embed(texts: pa.Array) -> pa.Array:
+            present = texts.drop_null().to_pylist()
+            if not present:
+                return pa.nulls(len(texts), pa.list_(pa.float32()))
+            rows = np.asarray(encode(present), dtype=np.float32)
+            filled = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), rows.shape[1])
+            # The vector of each text is at its place among those that are there.
+            place = np.cumsum(texts.is_valid().to_numpy(zero_copy_only=False)) - 1
+            place = pa.array(place, mask=texts.is_null().to_numpy(zero_copy_only=False))
+            return filled.take(place).cast(pa.list_(pa.float32()))
 
         return df.withColumn(output, embed(F.col(text)))
 
 
+class HashedWordEmbedder:
+    """Counts of a text's words by hash, scaled to unit length. Needs no fitting, and any SQL
+    engine can compute it: a word's place is its id (``word_id``) modulo the width."""
+
+    def __init__(self, width: int = 64, salt: str = "") -> None:
+        self.width, self.salt = width, salt
+
+    def transform(self, df: DataFrame, text: str, output: str = EMBEDDING) -> DataFrame:
+        salted = F.transform(words_of(F.col(text)), lambda w: F.concat(w, F.lit(self.salt)))
+        places = F.transform(salted, lambda w: F.pmod(word_id(w), F.lit(self.width)).cast("int"))
+        every = F.sequence(F.lit(0), F.lit(self.width - 1))
+        counts = F.transform(
+            every, lambda i: F.size(F.filter("__places", lambda p: p == i)).cast("double")
+        )
+        norm = F.sqrt(F.aggregate("__counts", F.lit(0.0), lambda a, x: a + x * x))
+        unit = F.transform(
+            "__counts", lambda x: F.when(F.col("__norm") > 0, x / F.col("__norm")).otherwise(0.0)
+        )
+        steps = df.withColumn("__places", places).withColumn("__counts", counts)
+        return (
+            steps.withColumn("__norm", norm)
+            .withColumn(output, unit.cast("array<float>"))
+            .drop("__places", "__counts", "__norm")
+        )
+
+
+def _current(source: DataFrame, key: str, text: str, columns: Sequence[str] | None) -> DataFrame:
+    kept = [c for c in (columns or source.columns) if c not in (key, text)]
+    return one_per_key(source.filter(F.col(key).isNotNull()).select(key, text, *kept), key)
+
+
+def _stored_changes(index: DataFrame, current: DataFrame, key: str) -> DataFrame:
+    """What differs between an index, without its vectors, and the source; written once."""
+    path = scratch_path(current.sparkSession, "index-changes")
+    snapshot_diff(index, current, key).write.parquet(path)
+    return current.sparkSession.read.parquet(path)
+
+
+def _fresh_rows(
+    index: DataFrame, changes: DataFrame, embedder: TextEmbedder, key: str, text: str
+) -> DataFrame:
+    """The new and changed rows with their vectors: the old one where the text stayed."""
+    upserts = changes.filter(F.col(CHANGE) != "delete").drop(CHANGE)
+    replaced = index.join(upserts.select(key), key, "left_semi").select(
+        key, F.col(text).alias("__old_text"), F.col(EMBEDDING).alias("__old_vector")
+    )
+    same_text = F.col("__old_vector").isNotNull() & F.col("__old_text").eqNullSafe(F.col(text))
+    todo = (
+        upserts.join(replaced, key, "left")
+        .withColumn("__keep", same_text)
+        .withColumn("__todo", F.when(~F.col("__keep"), F.col(text)))
+    )
+    embedded = embedder.transform(todo, "__todo", "__new_vector")
+    vector = F.when(F.col("__keep"), F.col("__old_vector")).otherwise(F.col("__new_vector"))
+    return embedded.select(*upserts.columns, vector.alias(EMBEDDING))
+
+
 def sync_index(
     index: DataFrame | None,
     source: DataFrame,
@@ -108,33 +169,36 @@ def sync_index(
     as the change, is written to the scratch folder once; the index is then filtered by it,
     without a shuffle while the change is small enough for Spark to broadcast.
     """
-    kept = [c for c in (columns or source.columns) if c not in (key, text)]
-    current = source.filter(F.col(key).isNotNull()).select(key, text, *kept)
-    current = one_per_key(current, key)
+    current = _current(source, key, text, columns)
     if index is None:
         return embedder.transform(current, text)
-
-    spark = source.sparkSession
     known = index
-    index = index.filter(F.col(EMBEDDING).isNotNull()).select(key, text, *kept, EMBEDDING)
-    path = scratch_path(spark, "index-changes")
-    snapshot_diff(index.drop(EMBEDDING), current, key).write.parquet(path)
-    changes = spark.read.parquet(path)
+    index = index.filter(F.col(EMBEDDING).isNotNull()).select(*current.columns, EMBEDDING)
+    changes = _stored_changes(index.drop(EMBEDDING), current, key)
     if changes.isEmpty():
         return known
-
-    upserts = changes.filter(F.col(CHANGE) != "delete").select(key, text, *kept)
-    replaced = index.join(upserts.select(key), key, "left_semi").select(
-        key, F.col(text).alias("__old_text"), F.col(EMBEDDING).alias("__old_vector")
-    )
-    same_text = F.col("__old_vector").isNotNull() & F.col("__old_text").eqNullSafe(F.col(text))
-    todo = (
-        upserts.join(replaced, key, "left")
-        .withColumn("__keep", same_text)
-        .withColumn("__todo", F.when(~F.col("__keep"), F.col(text)))
-    )
-    embedded = embedder.transform(todo, "__todo", "__new_vector")
-    vector = F.when(F.col("__keep"), F.col("__old_vector")).otherwise(F.col("__new_vector"))
-    fresh = embedded.select(key, text, *kept, vector.alias(EMBEDDING))
+    fresh = _fresh_rows(index, changes, embedder, key, text)
     untouched = index.join(changes.select(key), key, "left_anti")
     return untouched.select(*fresh.columns).unionByName(fresh)
+
+
+def sync_segments(
+    index: SegmentedTable,
+    source: DataFrame,
+    embedder: TextEmbedder,
+    text: str,
+    columns: Sequence[str] | None = None,
+) -> bool:
+    """``sync_index`` for an index in segments: what changed is all that is written, as one more
+    segment. Returns whether anything did. The first sync writes the base."""
+    key = index.key
+    current = _current(source, key, text, columns)
+    if index.manifest() is None:
+        index.rewrite(embedder.transform(current, text))
+        return True
+    changes = _stored_changes(index.read(current.columns), current, key)
+    if changes.isEmpty():
+        return False
+    fresh = _fresh_rows(index.read([key, text, EMBEDDING]), changes, embedder, key, text)
+    index.append(fresh, changes.filter(F.col(CHANGE) == "delete"))
+    return True

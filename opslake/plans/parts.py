@@ -148,6 +148,10 @@ def gold_reorder_needed(
     )
 
 
+# What a search result shows of a part.
+SHOWN = ["sku", "part_name", "category", "manufacturer", "list_price_usd"]
+
+
 def parts_searchable(parts: DataFrame) -> DataFrame:
     """Catalogue columns plus the description that similarity search embeds."""
     description = business.part_description(
