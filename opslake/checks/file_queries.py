@@ -18,9 +18,8 @@ from opslake.plans.domains import DATASETS
 from opslake.plans.lakehouse import Lakehouse
 from opslake.session import scratch_path
 from opslake.sources import generate
-from opslake.sources.landing import CsvDeliveries
 from opslake.sources.rescue import SOURCE_FILE, bronze_schema, rescue_json_lines
-from opslake.sources.schemas import SchemaRegistry, infer_schema
+from opslake.sources.schemas import infer_schema
 from opslake.sources.shards import write_shards
 from opslake.sources.test_tables import table
 from opslake.streaming.tables import (
@@ -108,30 +107,64 @@ def ingest_header_reorder(spark: SparkSession, sf: str) -> DataFrame:
     spec = DATASETS["purchases"]
     rows = raw(spark, sf, "purchases")
     large = F.col("qty") > 25
-    landing = f"{root}/landing"
+    landing = f"{root}/landing/purchases"
     write_shards(rows.filter(~large), f"{landing}/first", "csv", 4, spec.key)
     reordered = rows.select(*reversed(rows.columns))
     write_shards(reordered.filter(large), f"{landing}/second", "csv", 4, spec.key)
-    registry = SchemaRegistry(spark, f"{root}/schemas")
-    registry.save("purchases", spec.landing_schema)
-    deliveries = CsvDeliveries(spark, f"{root}/bronze", "purchases", registry)
-    deliveries.load(landing)
-    return deliveries.read().drop(SOURCE_FILE)
+    house = Lakehouse(spark, f"{root}/tables", f"{root}/landing")
+    house.refresh_dataset("purchases", register=False)
+    return house.bronze("purchases").drop(SOURCE_FILE)
+
+
+# Columns of every type that inference tells apart, and one without any value.
+_TYPED = """
+select l_orderkey as small_id, l_orderkey * 10000000000 + l_linenumber as large_id, l_extendedprice / l_quantity as price,
+ l_shipdate as shipped, l_returnflag as flag, case when l_linenumber > 1 then l_quantity > 25 end as bulky,
+ case when l_linenumber = 1 then cast(l_orderkey as varchar) else l_linestatus end as mixed, cast(null as varchar) as nothing
+from lineitem"""
+
+
+def _whole(column: str) -> str:
+    return f"case when max(abs({column})) < 2147483648 then 'int' else 'bigint' end"
 
 
 @register(
     "infer_schema",
-    """select column_name, case column_type when 'DOUBLE' then 'double' when 'TIMESTAMP' then 'timestamp' else 'int' end as data_type
-from (describe select l_orderkey * 10 + l_linenumber as purchase_id, l_partkey as part_id, l_suppkey as supplier_id,
- cast(l_quantity as int) as qty, l_extendedprice / l_quantity as unit_price_usd, l_shipdate as purchased_at,
- l_discount as discount_pct from lineitem)""",
+    f"""with typed as ({_TYPED}),
+csv as (select {_whole('small_id')} as small_id, {_whole('large_id')} as large_id,
+ case when max(abs(price - floor(price))) > 0 then 'double' else 'int' end as price,
+ case when typeof(any_value(shipped)) in ('TIMESTAMP', 'DATE') then 'timestamp' else 'string' end as shipped,
+ case when bool_and(regexp_full_match(flag, '[0-9]+')) then 'int' else 'string' end as flag,
+ lower(typeof(any_value(bulky))) as bulky,
+ case when bool_and(regexp_full_match(mixed, '[0-9]+')) then 'int' else 'string' end as mixed,
+ case when count(nothing) > 0 then 'other' else 'string' end as nothing from typed),
+json as (select 'bigint' as small_id, 'bigint' as large_id, 'double' as price, 'string' as shipped, 'string' as flag,
+ 'boolean' as bulky, 'string' as mixed)
+select 'csv' as file_format, column_name, data_type from (unpivot csv on columns(*) into name column_name value data_type)
+union all
+select 'json' as file_format, column_name, data_type from (unpivot json on columns(*) into name column_name value data_type)""",
 )
 def infer(spark: SparkSession, sf: str) -> DataFrame:
-    """Types found in CSV text: small ids fit an int."""
+    """Types found in CSV text and in JSON lines of the same rows."""
     root = scratch_path(spark, "infer")
-    schema = infer_schema(spark, _land(spark, sf, "purchases", root), "csv")
-    rows = [(f.name, f.dataType.simpleString()) for f in schema.fields]
-    return spark.createDataFrame(rows, "column_name string, data_type string")
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("small_id"),
+        (F.col("l_orderkey").cast("bigint") * 10000000000 + F.col("l_linenumber")).alias("large_id"),
+        (F.col("l_extendedprice").cast("double") / F.col("l_quantity").cast("double")).alias("price"),
+        F.col("l_shipdate").alias("shipped"),
+        F.col("l_returnflag").alias("flag"),
+        F.when(F.col("l_linenumber") > 1, F.col("l_quantity") > 25).alias("bulky"),
+        F.when(F.col("l_linenumber") == 1, F.col("l_orderkey").cast("string"))
+        .otherwise(F.col("l_linestatus"))
+        .alias("mixed"),
+        F.lit(None).cast("string").alias("nothing"),
+    )
+    found = []
+    for file_format in ("csv", "json"):
+        write_shards(rows, f"{root}/{file_format}", file_format, 4, "small_id")
+        schema = infer_schema(spark, f"{root}/{file_format}", file_format)
+        found += [(file_format, f.name, f.dataType.simpleString()) for f in schema.fields]
+    return spark.createDataFrame(found, "file_format string, column_name string, data_type string")
 
 
 @register(
@@ -143,17 +176,18 @@ def infer(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
-    """A second delivery adds a column; the stream goes on with the same checkpoint."""
+    """A second delivery adds a column, which an ordinary run picks up by itself."""
     root = scratch_path(spark, "evolve")
-    landing = f"{root}/landing"
     rows = raw(spark, sf, "customers")
     later = F.col("region").isin("ASIA", "EUROPE")
-    registry = SchemaRegistry(spark, f"{root}/schemas")
+    house = Lakehouse(spark, f"{root}/tables", f"{root}/landing")
+    known = [f for f in DATASETS["customers"].landing_schema.fields if f.name != "contract_tier"]
+    house.registry.save("customers", StructType(known))
 
     def deliver(part: DataFrame, name: str) -> DataFrame:
-        write_shards(part, f"{landing}/{name}", "json", 2, "customer_id")
-        known = registry.evolve("customers", infer_schema(spark, f"{landing}/{name}", "json"))
-        return _ingest(spark, landing, root, "customers", known.schema)
+        write_shards(part, f"{root}/landing/customers/{name}", "json", 2, "customer_id")
+        house.load("customers")
+        return house.bronze("customers").drop(SOURCE_FILE)
 
     deliver(rows.filter(~later).drop("contract_tier"), "first")
     return deliver(rows.filter(later), "second")

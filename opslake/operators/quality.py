@@ -101,35 +101,3 @@ def event_log_rows(
         ],
         EVENT_LOG_SCHEMA,
     )
-
-
-def settle_event_log(
-    log: DataFrame, fresh: DataFrame, rows: DataFrame, expectations: Sequence[Expectation]
-) -> DataFrame:
-    """The event-log rows that a run has to add, so that the log counts every row once.
-
-    ``log`` holds what earlier runs added for the dataset, ``fresh`` what this run's
-    micro-batches reported, ``rows`` all projected rows so far. Usually the two together count
-    as many rows as there are, which costs a row count. If they don't, because a long run
-    reported more batches than are held, or because a driver died before it wrote its log,
-    the rows are counted anew and what the log lacks is added.
-    """
-    counted = log.unionByName(fresh).filter(F.col("expectation") == expectations[0].name)
-    logged = counted.agg(F.sum(F.col("passed") + F.col("failed"))).head()[0] or 0
-    if logged == rows.count():
-        return fresh
-    one = fresh.head()
-    before = log.groupBy("expectation").agg(
-        F.sum("passed").alias("__passed"), F.sum("failed").alias("__failed")
-    )
-    totals = expectation_counts(rows, expectations, one["dataset"]).join(
-        F.broadcast(before), "expectation", "left"  # one row per expectation
-    )
-    return totals.select(
-        F.lit(one["run_id"]).alias("run_id"),
-        "dataset",
-        "expectation",
-        "action",
-        (F.col("passed") - F.coalesce("__passed", F.lit(0))).alias("passed"),
-        (F.col("failed") - F.coalesce("__failed", F.lit(0))).alias("failed"),
-    )

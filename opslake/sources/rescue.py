@@ -80,18 +80,24 @@ def rescue_text_columns(df: DataFrame, schema: StructType, extra: list[str] | No
     return _fit(df, raw, schema, unknown, corrupt, keep)
 
 
-def rescue_json_lines(df: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
-    """Typed columns from lines of JSON text. Each line is parsed once, into a map of text."""
+def rescue_fields(df: DataFrame, schema: StructType, fields: str) -> DataFrame:
+    """Typed columns from a map of text by name. Names that the schema lacks go to ``_rescued``, as
+    does the entry for a record that can't be parsed."""
     keep = [SOURCE_FILE] if SOURCE_FILE in df.columns else []
-    fields = "__fields"
     known = [f.name for f in schema.fields]
-    parsed = df.filter(F.length(F.trim(column)) > 0).withColumn(
-        fields, F.from_json(column, "map<string,string>")
-    )
     raw = {n: F.try_element_at(F.col(fields), F.lit(n)) for n in known}
     unknown = F.map_filter(
         F.coalesce(F.col(fields), F.create_map().cast("map<string,string>")),
-        lambda k, v: ~k.isin(known) & v.isNotNull(),
+        lambda k, v: ~k.isin([*known, CORRUPT]) & v.isNotNull(),
+    )
+    corrupt = F.try_element_at(F.col(fields), F.lit(CORRUPT))
+    return _fit(df, raw, schema, unknown, corrupt, keep)
+
+
+def rescue_json_lines(df: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
+    """Typed columns from lines of JSON text. Each line is parsed once, into a map of text."""
+    whole = F.create_map(F.lit(CORRUPT), F.col(column))
+    parsed = df.filter(F.length(F.trim(column)) > 0).withColumn(
+        "__fields", F.coalesce(F.from_json(column, "map<string,string>"), whole)
     )
-    corrupt = F.when(F.col(fields).isNull(), F.col(column))
-    return _fit(parsed, raw, schema, unknown, corrupt, keep)
+    return rescue_fields(parsed, schema, "__fields")

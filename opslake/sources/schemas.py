@@ -5,38 +5,114 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
+# Types from the narrowest to the widest; a column has the first that all its values fit.
+_LATTICE = ("int", "bigint", "double", "timestamp", "boolean")
+
+
+def _fits(cell: Column, kind: str) -> Column:
+    if kind == "timestamp":
+        # Not every text that can be cast is meant as a time: "2024" is a number.
+        return cell.rlike(r"^\s*\d{4}-\d{2}-\d{2}([ T].*)?$") & cell.try_cast(kind).isNotNull()
+    if kind == "boolean":
+        return F.lower(F.trim(cell)).isin("true", "false")
+    if kind == "double":
+        return cell.rlike(r"^\s*[+-]?(\d|\.\d|NaN$|Inf)") & cell.try_cast(kind).isNotNull()
+    return cell.rlike(r"^\s*[+-]?\d+\s*$") & cell.try_cast(kind).isNotNull()
+
+
+def widest(cell: Column) -> Column:
+    """Aggregate: the narrowest type that all cells of a column fit, as its name. Empty and NULL
+    cells fit anything; a column of them, or one that nothing narrower fits, is text."""
+    full = cell.isNotNull() & (F.trim(cell) != "")
+    found = F.lit("string")
+    for kind in reversed(_LATTICE):
+        found = F.when(F.count_if(full & ~F.coalesce(_fits(cell, kind), F.lit(False))) == 0, kind).otherwise(found)
+    return F.when(F.count_if(full) == 0, "string").otherwise(found)
+
+
+def infer_fields(entries: DataFrame, limit: int | None = None) -> StructType:
+    """The columns among (``name``, ``value``) entries, by name, typed by one aggregate that
+    combines before it shuffles. No columns at all if there are more than ``limit``."""
+    found = entries.groupBy("name").agg(widest(F.col("value")).alias("kind"))
+    rows = sorted((found if limit is None else found.limit(limit + 1)).collect())
+    if limit is not None and len(rows) > limit:
+        return StructType()
+    schema = StructType()
+    for name, kind in rows:
+        schema = schema.add(name, DataType.fromDDL(kind))
+    return schema
+
+
 def infer_schema(
     spark: SparkSession,
     path: str,
     file_format: str,
-    sampling_ratio: float = 1.0,
     modified_after: str | None = None,
 ) -> StructType:
-    """Column types of the CSV (with header) or NDJSON files under ``path``.
+    """Column types of the CSV (with header) or NDJSON files under ``path``, from one scan.
 
-    Inference reads the data once more, so on large datasets run it on the files of one
-    delivery (``modified_after``) or lower ``sampling_ratio``: the ingest rescues whatever
-    the inferred types do not fit.
+    CSV cells are read as text and typed by an aggregate per column; all files must share one
+    header. JSON lines are typed through their variant schema: whole numbers are bigint, other
+    numbers double, all else is text. On large datasets run it on the files of one delivery
+    (``modified_after``): the ingest rescues whatever the inferred types do not fit.
     """
-    reader = spark.read.option("samplingRatio", sampling_ratio).option(
-        "recursiveFileLookup", True
-    )
+    reader = spark.read.option("recursiveFileLookup", True)
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
     if file_format == "csv":
-        return reader.option("header", True).option("inferSchema", True).csv(path).schema
+        cells = reader.option("header", True).csv(path)
+        kinds = cells.agg(*(widest(F.col(f"`{c}`")).alias(c) for c in cells.columns)).head()
+        schema = StructType()
+        for name in cells.columns:
+            schema = schema.add(name, DataType.fromDDL(kinds[name]))
+        return schema
     if file_format == "json":
-        return reader.json(path).schema
+        return infer_json_fields(reader.text(path), "value")
     raise ValueError(f"unsupported landing format {file_format!r}")
 
 
+def infer_json_fields(lines: DataFrame, column: str) -> StructType:
+    """The fields of lines of JSON text, from one aggregate over their variant schemas."""
+    variant = F.schema_of_variant_agg(F.try_parse_json(column))
+    found = lines.where(F.length(F.trim(column)) > 0).agg(variant.alias("found")).head()["found"]
+    schema = StructType()
+    if not found.startswith("OBJECT<"):
+        return schema
+    for name, kind in _object_fields(found.removeprefix("OBJECT<").removesuffix(">")):
+        whole = kind == "BIGINT" or kind.startswith("DECIMAL") and kind.endswith(",0)")
+        number = kind in ("DOUBLE", "FLOAT") or kind.startswith("DECIMAL")
+        plain = "boolean" if kind == "BOOLEAN" else "string"
+        kind = "bigint" if whole else "double" if number else plain
+        schema = schema.add(name, DataType.fromDDL(kind))
+    return schema
+
+
+def _object_fields(text: str) -> list[tuple[str, str]]:
+    """(name, type) of the fields in an object type's text; names may be in backquotes."""
+    fields, depth, quoted, start = [], 0, False, 0
+    for at, c in enumerate(text + ","):
+        if c == "`":
+            quoted = not quoted
+        elif not quoted:
+            depth += (c in "<(") - (c in ">)")
+            if c == "," and depth == 0:
+                field, start = text[start:at].strip(), at + 1
+                cut = field.rindex("`: ") + 1 if field.startswith("`") else field.find(": ")
+                name = field[:cut]
+                if field.startswith("`"):
+                    name = name[1:-1].replace("``", "`")
+                if field:
+                    fields.append((name, field[cut + 2 :]))
+    return fields
+
+
 def evolve(old: StructType | None, new: StructType) -> StructType:
     """``old`` followed by the columns only ``new`` has; known columns keep their types."""
     if old is None:
@@ -46,16 +122,6 @@ def evolve(old: StructType | None, new: StructType) -> StructType:
     return StructType(list(old.fields) + added)
 
 
-def align(df: DataFrame, schema: StructType) -> DataFrame:
-    """``df`` with exactly the columns of ``schema``; missing ones are NULL."""
-    return df.select(
-        *[
-            F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
-
-
 @dataclass(frozen=True)
 class RegisteredSchema:
     dataset: str

@@ -1,13 +1,14 @@
-"""Sharded landing files: contiguous key ranges as CSV (with header) or NDJSON."""
+"""Sharded landing files of equal size: contiguous key ranges as CSV (with header) or NDJSON."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opslake.sources.numbering import numbered
 from opslake.sources.schemas import TIMESTAMP_FORMAT
 
-_TIE = "__tie"
+_TIE, _AT = "__tie", "__at"
 
 
 def write_shards(
@@ -19,23 +20,27 @@ def write_shards(
     mode: str = "errorifexists",
     max_records_per_file: int = 0,
 ) -> None:
-    """Write ``shards`` files, each holding one range of ``key`` in order.
+    """Write at most ``shards`` files, each with one range of ``key`` in order.
 
-    A hash of the row breaks ties, so rows that share a key value spread over shards; unlike a
-    running number it is the same when a lost task is run again.
+    Every file holds ``ceil(rows / shards)`` rows but the last, which has the rest; with few rows
+    there are fewer files. A hash of the row breaks ties, so rows that share a key value spread
+    over shards and a lost task writes the same again. Rows are ordered by range and written
+    once; their numbers then follow from the counts of the ranges, so no task sees all rows.
     ``max_records_per_file`` splits shards that would get too large for one file.
     """
+    if file_format not in ("csv", "json"):
+        raise ValueError(f"unsupported landing format {file_format!r}")
     placed = df.withColumn(_TIE, F.xxhash64(*df.columns))
-    ordered = (
-        placed.repartitionByRange(shards, key, _TIE)
-        .sortWithinPartitions(key, _TIE)
-        .drop(_TIE)
-    )
-    writer = ordered.write.mode(mode).option("timestampFormat", TIMESTAMP_FORMAT)
+    ordered = placed.repartitionByRange(key, _TIE).sortWithinPartitions(key, _TIE).drop(_TIE)
+    rows, total = numbered(ordered, _AT, "shard-order")
+    per_shard = max(1, -(-total // shards))
+    shard = F.expr(f"cast({_AT} div {per_shard} as int)")
+    cut = rows.withColumn(_TIE, shard).repartitionById(max(1, -(-total // per_shard)), _TIE)
+    cut = cut.sortWithinPartitions(_AT).select(*df.columns)
+
+    writer = cut.write.mode(mode).option("timestampFormat", TIMESTAMP_FORMAT)
     writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if file_format == "csv":
         writer.option("header", True).csv(path)
-    elif file_format == "json":
-        writer.json(path)
     else:
-        raise ValueError(f"unsupported landing format {file_format!r}")
+        writer.json(path)

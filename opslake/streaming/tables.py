@@ -27,7 +27,7 @@ def ingest_stream(
 
     Cells are read as text and cast afterwards, so a bad value costs that value and not the
     row. A CSV file whose header differs from ``schema`` stops the stream rather than
-    swapping values: such deliveries go through ``sources.landing.CsvDeliveries``.
+    swapping values: ``streaming.deliveries`` takes such files.
     ``max_bytes_per_trigger`` (a number of bytes) bounds one micro-batch on a large backlog.
     """
     reader = spark.readStream.option("recursiveFileLookup", True)
@@ -63,7 +63,7 @@ def write_stream(df: DataFrame, path: str, checkpoint: str) -> list[dict]:
     """Append everything available and stop.
 
     Returns the observed counts of the micro-batches whose progress the session still holds,
-    one dict per batch; ``operators.quality.settle_event_log`` makes up for the others.
+    one dict per batch; ``streaming.deliveries.load_silver`` keeps the counts of all.
     """
     query = (
         df.writeStream.format("parquet")
