@@ -13,6 +13,9 @@ from opslake.checks.sql import AS_OF, expectation_sql, settled, table_sql, with_
 from opslake.operators.quality import expectation_counts
 from opslake.plans import feeds, metrics, parts, service_ops, suppliers
 from opslake.plans.domains import DATASETS
+from opslake.plans.metrics import METRICS
+from opslake.session import scratch_path
+from opslake.sources.catalog import create_namespaces
 from opslake.sources.test_tables import RAW
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,7 +212,11 @@ _MV_CUTS = {
 
 
 def _metric_cut(spark: SparkSession, sf: str, view: str, dims: list[str]) -> DataFrame:
-    return settle_doubles(metrics.METRIC_VIEWS[view].query(_MV_SOURCES[view](spark, sf), dims))
+    """A cut rolled up in SQL from the catalog's table of states."""
+    create_namespaces(spark)
+    metric = metrics.METRIC_VIEWS[view]
+    metric.publish(spark, METRICS, scratch_path(spark, "states"), _MV_SOURCES[view](spark, sf))
+    return settle_doubles(metric.rollup(spark, METRICS, dims))
 
 
 for _name, (_view, _dims) in _MV_CUTS.items():

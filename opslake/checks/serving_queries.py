@@ -8,10 +8,21 @@ from pyspark.sql import functions as F
 from opslake.checks.queries import register, silver
 from opslake.checks.sql import with_ctes
 from opslake.functions import masking
-from opslake.operators import embedding, search
+from opslake.operators import search
+from opslake.operators.cells import CellIndex
 from opslake.operators.diff import snapshot_diff
-from opslake.operators.governance import COLUMN_MASKS, PII_VIEWERS, masked_view
+from opslake.operators.embedding import HashedWordEmbedder, sync_segments
+from opslake.operators.governance import (
+    COLUMN_MASKS,
+    PII_VIEWERS,
+    masked_view,
+    publish_masked_view,
+)
+from opslake.operators.text_index import TextIndex
 from opslake.plans import parts
+from opslake.session import scratch_path
+from opslake.sources.catalog import create_namespaces, materialize
+from opslake.sources.segments import SegmentedTable
 from opslake.sources.test_tables import table
 
 # --- masks -----------------------------------------------------------------------------
@@ -46,7 +57,15 @@ def mask_ssn(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def masked_suppliers(spark: SparkSession, sf: str) -> DataFrame:
-    return masked_view(silver(spark, sf, "suppliers"), COLUMN_MASKS["suppliers.silver_suppliers"])
+    return _masked_in_catalog(spark, sf, "suppliers", "suppliers.silver_suppliers")
+
+
+def _masked_in_catalog(spark: SparkSession, sf: str, dataset: str, name: str) -> DataFrame:
+    """The masked view of a silver table, as a session that has just begun finds it."""
+    create_namespaces(spark)
+    materialize(silver(spark, sf, dataset), name, scratch_path(spark, "masked"))
+    view = publish_masked_view(spark, name, COLUMN_MASKS[name])
+    return spark.newSession().table(view)
 
 
 @register("unmasked_suppliers", with_ctes("silver_suppliers", "select * from silver_suppliers"))
@@ -62,7 +81,7 @@ def unmasked_suppliers(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def masked_customers(spark: SparkSession, sf: str) -> DataFrame:
-    return masked_view(silver(spark, sf, "customers"), COLUMN_MASKS["service_ops.silver_customers"])
+    return _masked_in_catalog(spark, sf, "customers", "service_ops.silver_customers")
 
 
 # --- snapshots of the searchable table --------------------------------------------------
@@ -122,31 +141,73 @@ def diff(spark: SparkSession, sf: str) -> DataFrame:
 # --- similarity search ------------------------------------------------------------------
 
 
-@register("embed_index")
+# Words of the descriptions with their weights, as SQL: tf times ln((n + 1) / (df + 1)), scaled.
+_WORDS_SQL = r"""
+words as (select part_id, unnest(regexp_extract_all(lower(description), '\p{L}+')) as word from parts_searchable),
+tf as (select part_id, ('0x' || substr(md5(word), 1, 15))::bigint as token, count(*) as tf from words group by part_id, word),
+size as (select count(*) as n from parts_searchable),
+df as (select token, count(*) as df from tf group by token),
+raw as (select part_id, token, tf * ln((n + 1)::double / (df + 1)) as w from tf join df using (token), size where df < n),
+norms as (select part_id, sqrt(sum(w * w)) as norm from raw group by part_id)"""
+
+
+@register(
+    "embed_index",
+    with_ctes(
+        "parts_searchable",
+        f"""select part_id, token, round(w / norm, 9) as weight
+from (with {_WORDS_SQL.strip()} select * from raw join norms using (part_id))""",
+    ),
+)
 def embed_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The postings of the catalogue's inverted index."""
+    index = _text_index(spark, sf)
+    return index.postings().select("part_id", "token", F.round("weight", 9).alias("weight"))
+
+
+def _text_index(spark: SparkSession, sf: str) -> TextIndex:
     catalogue = parts.parts_searchable(silver(spark, sf, "parts"))
-    embedder = embedding.TfIdfEmbedder.fit(catalogue, "description")
-    return embedding.sync_index(None, catalogue, embedder, "part_id", "description")
+    path = scratch_path(spark, "text-index")
+    return TextIndex.build(catalogue, "part_id", "description", path, parts.SHOWN)
+
+
+# A third snapshot: as the second, and some parts with a new price and the old text.
+_SYNCED = f"""
+select * replace (case when part_id % 5 = 0 then list_price_usd + 1 else list_price_usd end as list_price_usd) from ({_LATER})"""
 
 
 @register(
     "sync_index",
     with_ctes(
         "parts_searchable",
-        "select part_id, sku, part_name, category, manufacturer, list_price_usd, hazmat_flag, description, "
-        f"512 as width, cast(1 as double) as norm from ({_LATER}) n",
+        rf"""select part_id, list_price_usd, segment, place, weight from (
+with rows as (
+ select n.part_id, n.list_price_usd, n.description,
+  case when o.part_id is null or o.description <> n.description then 'later' else 'first' end as salt,
+  case when o.part_id is null or o.description <> n.description or o.list_price_usd is distinct from n.list_price_usd
+   then 1 else 0 end as segment
+ from ({_SYNCED}) n left join parts_searchable o on o.part_id = n.part_id),
+words as (select *, unnest(regexp_extract_all(lower(description), '\p{{L}}+')) || salt as word from rows),
+counts as (select part_id, list_price_usd, segment, ('0x' || substr(md5(word), 1, 15))::bigint % 64 as place, count(*) as c
+ from words group by all)
+select part_id, list_price_usd, segment, place::int as place,
+ round((c / sqrt(sum(c * c) over (partition by part_id)))::float::double, 6) as weight from counts)""",
     ),
 )
 def sync_index(spark: SparkSession, sf: str) -> DataFrame:
-    """The index of the first snapshot synced with the second, its vectors as width and norm."""
+    """An index in segments after a second sync: the base holds what didn't change, a segment the
+    rest. The second sync embeds with another salt, so a vector tells which sync made it."""
     old, new = _snapshots(spark, sf)
-    embedder = embedding.TfIdfEmbedder.fit(old, "description")
-    index = embedding.sync_index(None, old, embedder, "part_id", "description")
-    synced = embedding.sync_index(index, new, embedder, "part_id", "description")
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    return synced.select(
-        *new.columns, F.size("embedding").alias("width"), F.round(norm, 4).alias("norm")
+    price = F.when(F.col("part_id") % 5 == 0, F.col("list_price_usd") + 1)
+    new = new.withColumn("list_price_usd", F.coalesce(price, "list_price_usd"))
+    index = SegmentedTable(spark, scratch_path(spark, "segments"), "part_id")
+    sync_segments(index, old, HashedWordEmbedder(salt="first"), "description")
+    sync_segments(index, new, HashedWordEmbedder(salt="later"), "description")
+    cells = index.read(["part_id", "list_price_usd", "embedding"], numbered=True).select(
+        "part_id", "list_price_usd", "segment", F.posexplode("embedding").alias("place", "x")
     )
+    weight = F.round(F.col("x").cast("double"), 6).alias("weight")
+    return cells.where("x > 0").select("part_id", "list_price_usd", "segment", "place", weight)
 
 
 def _centroids(spark: SparkSession, sf: str) -> DataFrame:
@@ -184,14 +245,41 @@ def vector_topk_lsh(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@register("text_topk")
-def text_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """The five closest parts to a sentence about each category."""
+@register("vector_topk_cells")
+def vector_topk_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Five neighbours of every hundredth part by its description, from an index by cells."""
     catalogue = parts.parts_searchable(silver(spark, sf, "parts"))
-    embedder = embedding.TfIdfEmbedder.fit(catalogue, "description")
-    index = embedding.sync_index(None, catalogue, embedder, "part_id", "description")
-    asked = catalogue.select(F.col("category").alias("query_id")).distinct().withColumn(
+    rows = HashedWordEmbedder().transform(catalogue, "description")
+    index = CellIndex.build(rows, scratch_path(spark, "cells"), "part_id")
+    asked = index.rows().where("part_id % 100 = 0")
+    asked = asked.select(F.col("part_id").alias("query_id"), "embedding")
+    return index.search(asked, 5, parts.SHOWN)
+
+
+@register(
+    "text_topk",
+    with_ctes(
+        "parts_searchable",
+        rf"""select * from (
+with {_WORDS_SQL.strip()},
+asked as (select category as query_id,
+  unnest(regexp_extract_all(lower('hazardous ' || category || ' replacement parts'), '\p{{L}}+')) as word
+ from (select distinct category from parts_searchable)),
+asked_tf as (select query_id, ('0x' || substr(md5(word), 1, 15))::bigint as token, count(*) as tf from asked group by query_id, word),
+asked_raw as (select query_id, token, tf * ln((n + 1)::double / (coalesce(df, 0) + 1)) as q
+ from asked_tf left join df using (token), size),
+asked_norm as (select query_id, sqrt(sum(q * q)) as q_norm from asked_raw group by query_id),
+scored as (select query_id, part_id, round(sum(w / norm * (q / q_norm)), 9) as score
+ from asked_raw join asked_norm using (query_id) join raw using (token) join norms using (part_id) group by query_id, part_id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, part_id)::int as rank from scored)
+select query_id, rank, part_id, sku, part_name, category, manufacturer, list_price_usd, score
+from ranked join parts_searchable using (part_id) where rank <= 5)""",
+    ),
+)
+def text_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The five closest parts to a sentence about each category, by the inverted index."""
+    index = _text_index(spark, sf)
+    asked = index.texts().select(F.col("category").alias("query_id")).distinct().withColumn(
         "query_text", F.concat(F.lit("hazardous "), F.lower("query_id"), F.lit(" replacement parts"))
     )
-    shown = ["sku", "part_name", "category", "manufacturer", "list_price_usd"]
-    return search.search_text(index, asked, embedder, k=5, columns=shown)
+    return index.search(asked, 5, columns=parts.SHOWN)

@@ -6,6 +6,8 @@ constant, so a masked plan never evaluates the plain branch.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,11 +36,15 @@ def mask_ssn(value: Column, viewer: bool | Column = False) -> Column:
 MASKS = {"mask_tax_id": mask_tax_id, "mask_email": mask_email, "mask_ssn": mask_ssn}
 
 
-def register_sql_masks(spark: SparkSession, schema_by_mask: dict[str, str] | None = None) -> list[str]:
+def register_sql_masks(
+    spark: SparkSession,
+    schema_by_mask: dict[str, str] | None = None,
+    only: Collection[str] = tuple(MASKS),
+) -> list[str]:
     """Create the masks as SQL functions ``name(val, is_viewer)`` and return their names.
 
-    ``schema_by_mask`` maps a mask to the schema that holds its table; masks without one
-    become temporary functions.
+    ``schema_by_mask`` maps a mask to the schema that holds its table, where it lasts; masks
+    without one become temporary functions.
     """
     bodies = {
         "mask_tax_id": "concat('***-*', substring(val, -4))",
@@ -47,6 +53,8 @@ def register_sql_masks(spark: SparkSession, schema_by_mask: dict[str, str] | Non
     }
     created = []
     for name, body in bodies.items():
+        if name not in only:
+            continue
         schema = (schema_by_mask or {}).get(name)
         target = f"{schema}.{name}" if schema else name
         kind = "FUNCTION" if schema else "TEMPORARY FUNCTION"

@@ -11,10 +11,12 @@ from collections.abc import Collection, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.functions.masking import MASKS
-from opslake.sources.catalog import table_properties, tag_table
+from opslake.functions.masking import MASKS, register_sql_masks
+from opslake.sources.catalog import publish_view, table_properties, tag_table
 
 PII_VIEWERS = "pii_viewers"
+# Catalog views ask this table whether the current user is one of the group.
+VIEWERS = "governance.pii_viewers"
 TAGS = "tags"
 
 # Which columns are masked how, and what they and the tables are tagged with.
@@ -66,6 +68,37 @@ def masked_view(
     )
 
 
+def publish_masked_view(spark: SparkSession, table: str, masks: Mapping[str, str]) -> str:
+    """A catalog view ``<table>_masked`` that shows masked columns plain only to readers who are
+    listed in ``VIEWERS`` when they ask; returns its name. The masks are SQL functions in the
+    table's schema; a new session sees view and functions as they are."""
+    unknown = [c for c in masks if c not in spark.table(table).columns]
+    if unknown:
+        raise KeyError(f"no such columns to mask: {unknown}")
+    create_viewers(spark)
+    schema = table.split(".")[0]
+    register_sql_masks(spark, {mask: schema for mask in masks.values()}, only=set(masks.values()))
+    viewer = f"(SELECT count(*) > 0 FROM {VIEWERS} WHERE member = current_user())"
+    columns = [
+        f"{schema}.{masks[c]}(`{c}`, {viewer}) AS `{c}`" if c in masks else f"`{c}`"
+        for c in spark.table(table).columns
+    ]
+    target = f"{table}_masked"
+    publish_view(spark, target, f"SELECT {', '.join(columns)} FROM {table}")
+    return target
+
+
+def create_viewers(spark: SparkSession) -> None:
+    """The table of those who may see plain values: a user's name per row."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {VIEWERS.split('.')[0]} COMMENT 'Who may see what'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {VIEWERS} (member STRING) USING parquet")
+
+
+def add_viewer(spark: SparkSession, member: str) -> None:
+    create_viewers(spark)
+    spark.sql(f"INSERT INTO {VIEWERS} VALUES (:member)", args={"member": member})
+
+
 def tag_columns(df: DataFrame, tags: Mapping[str, Mapping[str, str]]) -> DataFrame:
     """Tags in the columns' metadata, where tables and parquet files keep them."""
     for column, values in tags.items():

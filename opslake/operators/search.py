@@ -20,7 +20,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
+from pyspark.ml.feature import (
+    BucketedRandomProjectionLSH,
+    BucketedRandomProjectionLSHModel,
+    Normalizer,
+)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +32,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from opslake.operators.embedding import EMBEDDING, TextEmbedder
 from opslake.session import scratch_path
+from opslake.sources.numbering import numbered
 
 # Tasks receive these functions with the job, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,7 +47,7 @@ BLOCK_QUERIES = 2048
 BLOCK_BYTES = 64 << 20
 # Scores held at once by a task (32 MB of doubles).
 SCORE_CELLS = 4 << 20
-_SLOT = "__slot"
+_SLOT, _NUMBER = "__slot", "__number"
 
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -199,18 +204,23 @@ def _scan(
 def _query_blocks(queries: DataFrame, block_queries: int) -> Iterator[pa.Table]:
     """The queries in blocks of bounded rows and bytes, each brought to the driver by itself.
 
-    Rows are placed by a hash of their whole content, which is the same after a retry.
+    They are numbered and written by block once, so a block is read from its own folder, and
+    equal queries don't crowd into one.
     """
     first = queries.head()
     if first is None:
         return
     fit = max(1, min(block_queries, BLOCK_BYTES // (8 * max(1, len(first[EMBEDDING])))))
-    blocks = math.ceil(queries.count() / fit)
-    place = F.pmod(F.xxhash64(*queries.columns), F.lit(blocks))
-    for number in range(blocks):
-        rows = queries.filter(place == number).toArrow()
-        for start in range(0, rows.num_rows, fit):
-            yield rows.slice(start, fit)
+    rows, total = numbered(queries, _NUMBER, "queries")
+    if total <= fit:
+        yield rows.drop(_NUMBER).toArrow()
+        return
+    path = scratch_path(queries.sparkSession, "query-blocks")
+    placed = rows.withColumn(_SLOT, F.expr(f"{_NUMBER} div {fit}")).drop(_NUMBER)
+    placed.repartition(_SLOT).write.partitionBy(_SLOT).parquet(path)
+    for number in range(math.ceil(total / fit)):
+        block = queries.sparkSession.read.schema(queries.schema).parquet(f"{path}/{_SLOT}={number}")
+        yield block.toArrow()
 
 
 def search(
@@ -248,8 +258,14 @@ def search_text(
     return search(index, embedder.transform(queries, text), k, columns, key)
 
 
+def _unit_vectors(df: DataFrame, column: str) -> DataFrame:
+    """The rows that have a vector, with it scaled to unit length as an ML vector."""
+    raw = df.filter(F.col(EMBEDDING).isNotNull()).withColumn("__raw", array_to_vector(EMBEDDING))
+    return Normalizer(inputCol="__raw", outputCol=column).transform(raw).drop("__raw")
+
+
 class LshBuckets:
-    """Random-projection buckets: near vectors share at least one bucket with high odds."""
+    """Random-projection buckets of unit vectors: near ones share at least one with high odds."""
 
     _VECTOR, _HASHES = "__vector", "__hashes"
 
@@ -267,17 +283,12 @@ class LshBuckets:
             numHashTables=tables,
             seed=seed,
         )
-        sample = index.select(array_to_vector(EMBEDDING).alias(cls._VECTOR))
-        return cls(lsh.fit(sample))  # reads one row, for the width
+        return cls(lsh.fit(_unit_vectors(index, cls._VECTOR)))  # reads one row, for the width
 
     def assign(self, df: DataFrame) -> DataFrame:
         """``df`` with ``buckets``: one code per hash table, distinct between tables."""
         tables = self.model.getNumHashTables()
-        hashed = self.model.transform(
-            df.filter(F.col(EMBEDDING).isNotNull()).withColumn(
-                self._VECTOR, array_to_vector(EMBEDDING)
-            )
-        )
+        hashed = self.model.transform(_unit_vectors(df, self._VECTOR))
         codes = F.array(
             *[
                 (vector_to_array(F.col(self._HASHES)[t])[0] * tables + t).cast("bigint")

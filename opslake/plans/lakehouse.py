@@ -7,43 +7,39 @@ Gold tables are recomputed from all of silver, so late rows count with the next
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Collection, Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
 
 from opslake.functions.business import URGENT_SHORTFALL
-from opslake.operators.embedding import TextEmbedder, TfIdfEmbedder, sync_index
+from opslake.operators.embedding import TextEmbedder, TfIdfEmbedder, sync_segments
 from opslake.operators.governance import (
     COLUMN_MASKS,
     COLUMN_TAGS,
     certify_gold,
-    masked_view,
+    publish_masked_view,
     tag_columns,
 )
-from opslake.operators.quality import (
-    EVENT_LOG_SCHEMA,
-    apply_expectations,
-    event_log_rows,
-    settle_event_log,
-)
+from opslake.operators.quality import EVENT_LOG_SCHEMA
 from opslake.operators.search import search_text
 from opslake.plans import feeds, parts, service_ops, suppliers
 from opslake.plans.contracts import Dataset
 from opslake.plans.domains import DATASETS, DOMAINS
-from opslake.plans.metrics import METRIC_VIEWS
-from opslake.sources.catalog import create_namespaces, materialize, register_table, tag_table
-from opslake.sources.landing import BATCH, CsvDeliveries
-from opslake.sources.rescue import bronze_schema
-from opslake.sources.schemas import RegisteredSchema, SchemaRegistry, infer_schema
-from opslake.streaming.tables import (
-    ingest_stream,
-    read_table,
-    stream_table,
-    write_stream,
+from opslake.plans.metrics import METRIC_VIEWS, METRICS
+from opslake.sources.catalog import (
+    create_namespaces,
+    materialize,
+    publish_view,
+    register_table,
+    tag_table,
 )
+from opslake.sources.rescue import bronze_schema
+from opslake.sources.schemas import RegisteredSchema, SchemaRegistry
+from opslake.sources.segments import SegmentedTable
+from opslake.streaming.deliveries import load_bronze, load_silver, read_batches, stream_batches
 
 INDEX_TABLE = "parts.parts_searchable_index"
 INDEX_TEXT = "description"
@@ -137,11 +133,8 @@ class Lakehouse:
         root: str,
         landing: str,
         max_bytes_per_trigger: str | None = None,
-        drifting: Collection[str] = (),
     ) -> None:
-        """``drifting`` names CSV datasets whose files disagree on their header."""
         self.spark = spark
-        self.drifting = frozenset(drifting)
         self.root = root.rstrip("/")
         self.landing = landing.rstrip("/")
         self.max_bytes_per_trigger = max_bytes_per_trigger
@@ -154,36 +147,31 @@ class Lakehouse:
         checkpoint = f"{self.root}/_checkpoints/{layer}_{spec.name}/generation={generation}"
         return table, checkpoint
 
-    def learn_schema(self, dataset: str, modified_after: str | None = None) -> None:
-        """Add columns that landing files bring; known columns keep their types.
-
-        Reads the files once: pass ``modified_after`` to look at the new ones only. Drifting
-        CSV datasets learn from their headers while they load and are left out here; a CSV
-        dataset that gained a column needs to be one of them to be fully refreshed.
-        """
+    def load(self, dataset: str, full: bool = False) -> RegisteredSchema:
+        """Bring one dataset's bronze up to date; returns its schema, with the columns that new
+        files brought. ``full`` starts a new generation."""
         spec = DATASETS[dataset]
-        if self.registry.load(dataset) is None:
-            self.registry.save(dataset, spec.landing_schema)
-        if dataset in self.drifting:
-            return
-        path = f"{self.landing}/{dataset}"
-        seen = infer_schema(self.spark, path, spec.file_format, modified_after=modified_after)
-        self.registry.evolve(dataset, seen)
-
-    def _load_bronze(self, spec: Dataset, known: RegisteredSchema) -> tuple[str, StructType]:
-        """Bring bronze up to date; returns its folder and columns."""
-        landing = f"{self.landing}/{spec.name}"
+        known = self.registry.load(dataset) or self.registry.save(dataset, spec.landing_schema)
+        if full:
+            known = self.registry.save(dataset, known.schema, known.generation + 1)
         bronze, checkpoint = self._paths(spec, "bronze", known.generation)
-        if spec.name in self.drifting:
-            deliveries = CsvDeliveries(self.spark, bronze, spec.name, self.registry)
-            deliveries.load(landing)
-            schema = bronze_schema(self.registry.load(spec.name).schema)
-            return deliveries.data, schema.add(BATCH, "integer")
-        stream = ingest_stream(
-            self.spark, landing, spec.file_format, known.schema, self.max_bytes_per_trigger
+        landing = f"{self.landing}/{dataset}"
+        return load_bronze(
+            self.spark,
+            dataset,
+            spec.file_format,
+            landing,
+            bronze,
+            checkpoint,
+            self.registry,
+            self.max_bytes_per_trigger,
         )
-        write_stream(stream, bronze, checkpoint)
-        return bronze, bronze_schema(known.schema)
+
+    def bronze(self, dataset: str) -> DataFrame:
+        """The rows of a dataset as delivered, with rescued values and source file."""
+        known = self.registry.load(dataset)
+        path, _ = self._paths(DATASETS[dataset], "bronze", known.generation)
+        return read_batches(self.spark, path, bronze_schema(known.schema))
 
     def refresh_dataset(
         self, dataset: str, full: bool = False, run_id: str = "", register: bool = True
@@ -195,20 +183,28 @@ class Lakehouse:
         ``register=False`` leaves the catalog alone.
         """
         spark, spec = self.spark, DATASETS[dataset]
-        known = self.registry.load(dataset) or self.registry.save(dataset, spec.landing_schema)
-        if full:
-            known = self.registry.save(dataset, known.schema, known.generation + 1)
-        bronze, schema = self._load_bronze(spec, known)
-        silver, silver_checkpoint = self._paths(spec, "silver", known.generation)
+        known = self.load(dataset, full)
+        generation, schema = known.generation, bronze_schema(known.schema)
+        bronze, _ = self._paths(spec, "bronze", generation)
 
-        typed = spec.project(stream_table(spark, bronze, schema))
-        checked = apply_expectations(typed, spec.expectations, observe_as=f"dq_{dataset}")
+        silver, silver_checkpoint = self._paths(spec, "silver", generation)
         name = f"{spec.domain}.silver_{dataset}"
-        tagged = tag_columns(checked, COLUMN_TAGS.get(name, {}))
-        batches = write_stream(tagged, silver, silver_checkpoint)
-        self._log_counts(spec, known.generation, bronze, schema, batches, run_id)
 
-        rows = read_table(spark, silver, tagged.schema)
+        def project(rows: DataFrame) -> DataFrame:
+            return tag_columns(spec.project(rows), COLUMN_TAGS.get(name, {}))
+
+        load_silver(
+            stream_batches(spark, bronze, schema, self.max_bytes_per_trigger),
+            project,
+            spec.expectations,
+            silver,
+            silver_checkpoint,
+            f"{self.event_log_path}/dataset={dataset}/generation={generation}",
+            dataset,
+            run_id,
+        )
+        silver_schema = project(read_batches(spark, bronze, schema)).schema
+        rows = read_batches(spark, silver, silver_schema)
         if not register:
             return rows
         properties = {"domain": spec.domain}
@@ -224,33 +220,12 @@ class Lakehouse:
             spark,
             name,
             silver,
-            tagged.schema,
+            silver_schema,
             f"{dataset} typed and checked",
             {**properties, "layer": "silver"},
         )
         return rows
 
-    def _log_counts(
-        self,
-        spec: Dataset,
-        generation: int,
-        bronze: str,
-        schema: StructType,
-        batches: list[dict],
-        run_id: str,
-    ) -> None:
-        """Add this run's expectation counts, and what an earlier run could not add."""
-        fresh = event_log_rows(self.spark, run_id, spec.name, spec.expectations, batches)
-        rows = spec.project(read_table(self.spark, bronze, schema))
-        path = f"{self.event_log_path}/dataset={spec.name}/generation={generation}"
-        empty = self.spark.createDataFrame([], EVENT_LOG_SCHEMA)
-        empty.write.mode("append").parquet(path)  # so that the folder exists
-        log = self.spark.read.schema(EVENT_LOG_SCHEMA).parquet(path)
-        added = settle_event_log(log, fresh, rows, spec.expectations)
-        added = added.filter("passed <> 0 or failed <> 0").coalesce(1)
-        if not added.isEmpty():
-            added.write.mode("append").parquet(path)
-
     def run_domain(
         self,
         domain: str,
@@ -291,30 +266,34 @@ class Lakehouse:
                 tag_table(spark, name, {"reverse_etl": "true", **FEED_TAGS[name]})
         return count
 
-    def sync_search_index(self, embedder: TextEmbedder | None = None) -> DataFrame:
+    def search_index(self) -> SegmentedTable:
+        """The index of the searchable table, in segments."""
+        return SegmentedTable(self.spark, f"{self.root}/index/{INDEX_TABLE}", "part_id")
+
+    def sync_search_index(
+        self, embedder: TextEmbedder | None = None, compact: bool = False
+    ) -> DataFrame:
         """Embed what is new or changed in the searchable table; returns the index table.
 
+        Only changes are written, as a segment; ``compact`` folds all segments into a new base.
         Without an ``embedder`` the first sync fits TF-IDF on the descriptions and keeps the
         model; later syncs and searches load it, so all vectors come from one model.
         """
-        spark = self.spark
+        spark, index = self.spark, self.search_index()
         source = spark.table("parts.parts_searchable")
-        known = spark.catalog.tableExists(INDEX_TABLE)
+        known = index.manifest()
         if embedder is None:
-            if not known:
+            if known is None:
                 TfIdfEmbedder.fit(source, INDEX_TEXT).save(self.model_path)
             embedder = TfIdfEmbedder.load(self.model_path)
-        index = spark.table(INDEX_TABLE) if known else None
-        synced = sync_index(index, source, embedder, "part_id", INDEX_TEXT)
-        if synced is index:  # nothing changed, so nothing is written
-            return index
-        return materialize(
-            synced,
-            INDEX_TABLE,
-            f"{self.root}/index",
-            "Embedded descriptions of the parts",
-            {"domain": "parts"},
-        )
+        sync_segments(index, source, embedder, INDEX_TEXT)
+        if compact:
+            index.compact()
+        if index.manifest() != known or not spark.catalog.tableExists(INDEX_TABLE):
+            publish_view(
+                spark, INDEX_TABLE, index.sql(), "Embedded descriptions of the parts", {"domain": "parts"}
+            )
+        return spark.table(INDEX_TABLE)
 
     def search_parts(
         self, queries: DataFrame, k: int = 5, embedder: TextEmbedder | None = None
@@ -325,39 +304,33 @@ class Lakehouse:
             queries,
             embedder or TfIdfEmbedder.load(self.model_path),
             k=k,
-            columns=["sku", "part_name", "category", "manufacturer", "list_price_usd"],
+            columns=parts.SHOWN,
         )
 
     def govern(self) -> None:
         """Certify the gold tables, publish the metric views and mask the personal columns."""
         certify_gold(self.spark)
         for view in METRIC_VIEWS.values():
-            view.create_view(self.spark, "business_metrics")
+            view.publish(self.spark, METRICS, f"{self.root}/metrics")
         tag_table(
             self.spark, "parts.parts_searchable", {"purpose": "similarity_search_source"}
         )
         for name, masks in COLUMN_MASKS.items():
-            schema, table = name.split(".")
-            masked = masked_view(self.spark.table(name), masks)
-            masked.createOrReplaceTempView(f"{schema}_{table}_masked")
+            publish_masked_view(self.spark, name, masks)
 
     def event_log(self) -> DataFrame:
         """Passed and failed counts per run, dataset and expectation."""
         reader = self.spark.read.schema(EVENT_LOG_SCHEMA).option("recursiveFileLookup", True)
-        return reader.parquet(self.event_log_path)
-
-    def run(
-        self, as_of: datetime | str | None = None, full: bool = False, learn: bool = False
-    ) -> DataFrame:
-        """Everything in order; returns the published batch or, without alerts, the summary.
+        batches = reader.parquet(self.event_log_path)
+        return batches.groupBy("run_id", "dataset", "expectation", "action").agg(
+            F.sum("passed").alias("passed"), F.sum("failed").alias("failed")
+        )
 
-        ``learn`` looks through the landing files for new columns first.
-        """
+    def run(self, as_of: datetime | str | None = None, full: bool = False) -> DataFrame:
+        """Everything in order; returns the published batch or, without alerts, the summary."""
         spark = self.spark
         run_id = uuid.uuid4().hex
         create_namespaces(spark)
-        for dataset in DATASETS if learn else ():
-            self.learn_schema(dataset)
         for domain in DOMAINS:
             self.run_domain(domain, as_of, full, run_id)
         self.govern()

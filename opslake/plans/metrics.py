@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from opslake.operators.metric_view import MetricView
 
 
+METRICS = "business_metrics"
+
+
 def _view(name: str, source: str, dimensions: list[str], measures: dict[str, str]) -> MetricView:
     return MetricView(
         name=name,

@@ -19,6 +19,10 @@ NAMESPACES = {
 }
 
 
+# Properties of a view that stands for a table: the table with its files now, and before.
+FILES_OF, FILES_BEFORE = "files_of", "files_before"
+
+
 def _text(value: str) -> str:
     escaped = value.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
@@ -43,20 +47,29 @@ def register_table(
     comment: str = "",
     properties: Mapping[str, str] | None = None,
 ) -> None:
-    """Point ``name`` at the parquet files under ``path``. Moves no data and deletes none.
+    """Let ``name`` show the parquet files under ``path``. Moves no data and deletes none.
 
-    While the schema stays, readers see the old or the new folder and never a missing table.
+    ``name`` is a view of a table that has the files. With the same schema that table gets the new
+    location; with another one a new table is made and the view replaced. Each is one step, so
+    readers see the old or the new rows and are never without a table. The table before the last
+    stays for readers that have just looked it up; older ones leave the catalog.
     """
-    if spark.catalog.tableExists(name) and spark.table(name).schema == schema:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(path)}")
+    kept = _view_properties(spark, name)
+    current = kept.get(FILES_OF)
+    if current and spark.catalog.tableExists(current) and spark.table(current).schema == schema:
+        spark.sql(f"ALTER TABLE {current} SET LOCATION {_text(path)}")
+        spark.catalog.refreshTable(current)
     else:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
-    spark.catalog.refreshTable(name)
-    if comment:
-        spark.sql(f"COMMENT ON TABLE {name} IS {_text(comment)}")
-    if properties:
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_pairs(properties)})")
+        old, current = current, f"{name}__{uuid.uuid4().hex[:12]}"
+        spark.catalog.createTable(
+            current, path=path, source="parquet", schema=schema, recursiveFileLookup="true"
+        )
+        if kept.get(FILES_BEFORE):
+            spark.sql(f"DROP TABLE IF EXISTS {kept[FILES_BEFORE]}")
+        kept = {**kept, FILES_OF: current, **({FILES_BEFORE: old} if old else {})}
+    if not comment and spark.catalog.tableExists(name):
+        comment = spark.catalog.getTable(name).description or ""
+    publish_view(spark, name, f"SELECT * FROM {current}", comment, {**kept, **(properties or {})})
 
 
 def materialize(
@@ -78,6 +91,22 @@ def materialize(
     return spark.table(name)
 
 
+def publish_view(
+    spark: SparkSession,
+    name: str,
+    query: str,
+    comment: str = "",
+    properties: Mapping[str, str] | None = None,
+) -> None:
+    """Create or replace a persistent view in one step; readers see the old or the new query. A
+    table of that name, from before it was a view, is dropped from the catalog."""
+    if spark.catalog.tableExists(name) and not _is_view(spark, name):
+        spark.sql(f"DROP TABLE {name}")
+    said = f" COMMENT {_text(comment)}" if comment else ""
+    kept = f" TBLPROPERTIES ({_pairs(properties)})" if properties else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {name}{said}{kept} AS {query}")
+
+
 def tag_table(spark: SparkSession, name: str, tags: Mapping[str, str]) -> None:
     """Set tags on a table or view as its properties; existing ones are overwritten."""
     kind = "VIEW" if _is_view(spark, name) else "TABLE"
@@ -88,8 +117,24 @@ def _is_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.getTable(name).tableType == "VIEW"
 
 
-def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
-    """The properties of one table, without the reader options Spark lists among them."""
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
     rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-    own = ("option.", "view.")
-    return {r["key"]: r["value"] for r in rows if not r["key"].startswith(own)}
+    unlike = ("option.", "view.")
+    return {
+        r["key"]: r["value"]
+        for r in rows
+        if not r["key"].startswith(unlike) and r["key"] not in ("comment", "transient_lastDdlTime")
+    }
+
+
+def _view_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    """The properties of a view, those that say where its files are included; none for others."""
+    if not spark.catalog.tableExists(name) or not _is_view(spark, name):
+        return {}
+    return _properties(spark, name)
+
+
+def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    """The properties of one table or view, without those that Spark or this module adds."""
+    found = _properties(spark, name)
+    return {k: v for k, v in found.items() if k not in (FILES_OF, FILES_BEFORE)}

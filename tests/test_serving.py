@@ -1,5 +1,7 @@
 """Snapshots, catalog, governance, embedding and search."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
@@ -94,6 +96,98 @@ def test_masked_view(spark):
         governance.masked_view(df, {"ssn": "mask_ssn"})
 
 
+def test_a_published_mask_lasts_and_asks_who_reads(spark, tmp_path):
+    create_namespaces(spark)
+    people = spark.createDataFrame([("12-3456789", "a@b.c", 1), (None, "nobody", 2)], "tax_id string, mail string, n int")
+    materialize(people, "raw.people", str(tmp_path / "root"))
+    view = governance.publish_masked_view(spark, "raw.people", {"tax_id": "mask_tax_id", "mail": "mask_email"})
+    assert view == "raw.people_masked"
+    masked = [("***-*6789", "***@b.c", 1), (None, None, 2)]
+
+    def seen():
+        return sorted(map(tuple, spark.newSession().table(view).collect()), key=lambda r: r[2])
+
+    assert seen() == masked
+    governance.add_viewer(spark, "somebody else")
+    assert seen() == masked
+    wider = people.withColumn("n", F.col("n") * 1)
+    materialize(wider, "raw.people", str(tmp_path / "root"))  # the view follows its table
+    assert seen() == masked
+    governance.add_viewer(spark, spark.sql("select current_user()").head()[0])
+    assert seen() == [("12-3456789", "a@b.c", 1), (None, "nobody", 2)]
+    spark.sql(f"DROP TABLE {governance.VIEWERS}")
+    governance.create_viewers(spark)
+    assert seen() == masked
+    with pytest.raises(KeyError):
+        governance.publish_masked_view(spark, "raw.people", {"ssn": "mask_ssn"})
+
+
+def test_readers_are_never_without_a_table(spark, tmp_path):
+    create_namespaces(spark)
+    root = str(tmp_path / "root")
+    materialize(spark.range(5), "raw.moving", root)
+    stop, seen, failed = threading.Event(), [], []
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.append(spark.table("raw.moving").count())
+            except Exception as e:  # the point of the test
+                failed.append(str(e)[:300])
+
+    readers = [threading.Thread(target=read) for _ in range(2)]
+    for r in readers:
+        r.start()
+    for i in range(6):
+        wider = spark.range(5).select("id", *(F.lit(i).alias(f"x{j}") for j in range(i + 1)))
+        assert materialize(wider, "raw.moving", root, properties={"step": str(i)}).columns == wider.columns
+        materialize(wider, "raw.moving", root)
+    stop.set()
+    for r in readers:
+        r.join()
+    assert failed == [] and len(seen) > 5 and set(seen) == {5}
+    assert table_properties(spark, "raw.moving")["step"] == "5"
+    files = [t.name for t in spark.catalog.listTables("raw") if t.name.startswith("moving__")]
+    assert len(files) == 2
+
+
+def test_metric_states_roll_up_to_any_grain(spark, tmp_path):
+    from opslake.operators.metric_view import MetricView
+
+    create_namespaces(spark)
+    rows = spark.range(3000).selectExpr(
+        "case when id % 11 = 0 then null else id % 3 end as a", "id % 5 as b", "id % 7 as c",
+        "case when id % 13 = 0 then null else (id * 7919) % 70000 end as who", "id / 8 as x",
+        "case when id % 5 = 2 then null else id / 4 end as y",
+    )
+    measures = {
+        "total": "SUM(x * 2)", "mean": "AVG(y)", "n": "COUNT(*)", "present": "COUNT(y)", "people": "COUNT(DISTINCT who)"
+    }
+    view = MetricView("mv_any", "raw.nothing", {"a": "a", "b": "b", "c": "c + 1"}, measures)
+    assert view.publish(spark, "business_metrics", str(tmp_path / "m"), rows) == "business_metrics.mv_any"
+
+    def content(df):
+        return sorted(map(tuple, df.collect()), key=repr)
+
+    for dims in ([], ["a"], ["b"], ["c", "a"], ["a", "b", "c"]):
+        for wanted in (None, ["people"], ["mean", "n"]):
+            want = view.query(rows, dims, wanted)
+            got = view.rollup(spark, "business_metrics", dims, wanted)
+            assert got.columns == want.columns and content(got) == content(want)
+    filtered = view.rollup(spark, "business_metrics", ["b"], where="a = 1")
+    assert content(filtered) == content(view.query(rows, ["b"], where="a = 1"))
+    assert content(view.rollup(spark, "business_metrics", where="a = 9")) == content(view.query(rows, where="a = 9"))
+    finest = spark.newSession().table("business_metrics.mv_any")
+    assert content(finest) == content(view.query(rows, ["a", "b", "c"]))
+    # What is stored is less than the rows, and plain SQL does the rest.
+    states = spark.table("business_metrics.mv_any_states")
+    assert states.count() < rows.count()
+    with pytest.raises(ValueError):
+        MetricView("bad", "t", {"a": "a"}, {"m": "MAX(x)"}).states(rows)
+    with pytest.raises(ValueError):
+        MetricView("bad", "t", {"a": "a"}, {"m": "COUNT(DISTINCT b)", "k": "COUNT(DISTINCT c)"}).states(rows)
+
+
 # --- search ----------------------------------------------------------------------------
 
 
@@ -189,12 +283,67 @@ def test_a_query_without_an_id_costs_no_other_its_results(spark, index, vectors)
 
 
 def test_lsh_falls_back_to_exact_for_lonely_queries(spark, index, vectors):
-    lsh = search.LshBuckets.fit(index.filter("embedding is not null"), bucket_length=0.05, tables=1)
+    lsh = search.LshBuckets.fit(index.filter("embedding is not null"), bucket_length=0.0005, tables=1)
     queries = vectors[[3, 5]] * 40
     got = found(search.search_approx(lsh.assign(index), ask(spark, queries), lsh, 5))
     assert got == brute_force(vectors, queries, 5)
 
 
+def test_equal_queries_spread_over_blocks(spark, index, vectors, monkeypatch):
+    equal = ask(spark, vectors[[3]]).crossJoin(spark.range(60).select(F.col("id").alias("n")))
+    equal = equal.select(F.col("n").cast("int").alias("query_id"), "embedding").repartition(3)
+    monkeypatch.setattr(search, "BLOCK_BYTES", 8 * vectors.shape[1] * 7)
+    sizes = [b.num_rows for b in search._query_blocks(equal, 1000)]
+    assert sum(sizes) == 60 and max(sizes) == 7 and len(sizes) == 9
+    got = found(search.search(index, equal, 3))
+    assert len(got) == 60 and all(v == brute_force(vectors, vectors[[3]], 3)[0] for v in got.values())
+
+
+def test_cells_reach_their_recall_and_skip_files(spark, sf, tmp_path):
+    from opslake.operators.cells import CellIndex
+    from opslake.operators.embedding import HashedWordEmbedder
+    from opslake.plans import parts
+    from opslake.plans.domains import DATASETS
+    from opslake.sources.test_tables import RAW
+
+    catalogue = parts.parts_searchable(DATASETS["parts"].silver(RAW["parts"](spark, "/root/testdata/sf0.01")))
+    rows = HashedWordEmbedder().transform(catalogue, "description").cache()
+    index = CellIndex.build(rows, str(tmp_path), "part_id", cells=40)
+    assert index.rows().count() == rows.count() and index.recall >= 0.9 and index.probes <= 20
+    assert CellIndex(spark, index.path, "part_id").probes == index.probes
+    asked = rows.where("part_id % 50 = 7").select(F.col("part_id").alias("query_id"), "embedding")
+    exact = search.search(rows, asked, 5).select("query_id", "part_id")
+    near = index.search(asked, 5)
+    assert near.groupBy("query_id").count().where("count <> 5").count() == 0
+    assert near.select("query_id", "part_id").intersect(exact).count() >= 0.9 * exact.count()
+
+    one = asked.limit(1)
+    block = next(search._query_blocks(one, 10))
+    scan = index._scan(one, block, 5, ["part_id"], index.probes)
+    kept = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        plan = scan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", kept)
+    assert "PartitionFilters: [" in plan and "cell" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    cells = {f.split("cell=")[1].split("/")[0] for f in index.rows().inputFiles()}
+    assert index.probes / len(cells) <= 0.5
+
+
+def test_cells_of_few_rows_and_none(spark, index, vectors, tmp_path):
+    from opslake.operators.cells import CellIndex
+
+    cells = CellIndex.build(index, str(tmp_path), "part_id", cells=30, recall=1.0)
+    queries = vectors[[0, 5, 250, 450]]
+    assert found(cells.search(ask(spark, queries), 5, probes=30)) == brute_force(vectors, queries, 5)
+    few = found(cells.search(ask(spark, queries), 590, probes=1))  # more than a cell holds
+    assert few == brute_force(vectors, queries, 590)
+    assert cells.search(ask(spark, queries[:0]), 5).count() == 0
+    empty = CellIndex.build(index.limit(0), str(tmp_path), "part_id")
+    assert empty.search(ask(spark, queries), 5).count() == 0
+
+
 # --- embedding and sync ----------------------------------------------------------------
 
 TEXTS = [
