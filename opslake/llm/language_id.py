@@ -4,30 +4,51 @@ Training counts words and character n-grams per language in Spark. A word of the
 contributes its log frequency in each language; an unseen word is scored by the longest
 n-grams that the model knows, place by place, backing off to shorter ones.
 
-The classifier is fitted on a bounded sample of the labelled rows (``max_train_docs`` per
-language, chosen by hash) and keeps at most ``max_entries`` words and n-grams, the most
-frequent ones. So the model that goes to the tasks has a proven size, at any corpus size.
-All rows are predicted, over their whole texts.
+The classifier is fitted on a bounded sample of the labelled rows (about ``max_train_docs`` per
+language, drawn row by row where they are scanned, so copies of a text are drawn apart) and keeps
+at most ``max_entries`` words and n-grams: of each language its share, the most frequent ones. So
+the model that goes to the tasks has a proven size, at any corpus size. All rows are predicted,
+over their whole texts.
+
+A letter is a character of Unicode's letter categories, a word a letter and the letters and
+combining marks after it; digits and numerals of any kind are neither.
 """
 
 from __future__ import annotations
 
-import math
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opslake.llm.common import map_arrow, stored
+from opslake.llm.common import ROW, map_arrow, stored, with_row
 
-WORD = re.compile(r"[^\W\d_]+")
+
+def _class_of(kind: str) -> str:
+    """The characters whose Unicode category begins with ``kind``, as ranges for a pattern."""
+    ranges: list[list[int]] = []
+    for c in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(c))[0] == kind:
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
+_LETTERS, _MARKS = _class_of("L"), _class_of("M")
+WORD = re.compile(f"[{_LETTERS}][{_LETTERS}{_MARKS}]*")
 ORDERS = (5, 4, 3, 2, 1)
 MAX_TRAIN_DOCS = 4_000
 MAX_ENTRIES = 200_000
+# Shares of so many languages are named in the scan; those of more are joined.
+NAMED_LANGUAGES = 500
 # Words whose n-grams are remembered by a task.
 CACHE = 200_000
 UNKNOWN = "und"
@@ -128,40 +149,49 @@ def train(
     max_entries: int = MAX_ENTRIES,
 ) -> LanguageModel:
     """Fit on rows with text and language. Of languages with more than ``max_train_docs``
-    rows, about that many are taken, by a hash of the text; rarer ones are taken whole."""
+    rows, about that many are taken, each row by itself; rarer ones are taken whole. Repeated rows
+    count each; other columns are not read."""
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    rows = rows.where("lang is not null and text is not null")
-    sizes = rows.groupBy("lang").count().withColumn(
-        "share", F.least(F.lit(1.0), F.lit(float(max_train_docs)) / F.col("count"))
-    )
-    place = F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1_000_003)) / 1_000_003
-    sample = rows.join(sizes, "lang").where(place < F.col("share")).select("lang", "text")
-    counts = map_arrow(sample, _count, "lang string, order int, entry string, n long")
+    rows = with_row(rows.where("lang is not null and text is not null"))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    share = F.least(F.lit(1.0), F.lit(float(max_train_docs)) / F.col("rows"))
+    sizes = stored(sizes.select("lang", share.alias("share")), "lang-shares")
+    few = sizes.limit(NAMED_LANGUAGES + 1).collect()
+    place = F.pmod(F.xxhash64(F.lit("sample"), ROW, "text"), F.lit(1_000_003)) / 1_000_003
+    if not few:
+        return LanguageModel([], [], np.zeros((0, 0)))
+    if len(few) <= NAMED_LANGUAGES:
+        shares = F.create_map(*(F.lit(x) for r in few for x in (r["lang"], r["share"])))
+        sample = rows.where(place < shares[F.col("lang")])
+    else:
+        sample = rows.join(sizes, "lang").where(place < F.col("share"))
+    counts = map_arrow(sample.select("lang", "text"), _count, "lang string, order int, entry string, n long")
     counts = stored(counts.groupBy("lang", "order", "entry").agg(F.sum("n").alias("n")), "lang-counts")
 
     totals = {(r[0], r[1]): r[2] for r in counts.groupBy("lang", "order").agg(F.sum("n")).collect()}
     langs = sorted({lang for lang, _ in totals})
-    sizes_by_order = dict(
-        counts.groupBy("order").agg(F.countDistinct("entry")).collect()
-    )
-    wide = counts.groupBy("order", "entry").agg(
-        F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("by_lang")
+    by_order = dict(counts.groupBy("order").agg(F.countDistinct("entry")).collect())
+    # Each language names its most frequent entries; ties by entry, so that the model is one.
+    own = Window.partitionBy("lang").orderBy(F.desc("n"), "order", "entry")
+    ranked = counts.withColumn("at", F.row_number().over(own))
+    wide = ranked.groupBy("order", "entry").agg(
+        F.min("at").alias("at"), F.collect_list("lang").alias("langs"), F.collect_list("n").alias("ns")
     )
-    # The most frequent entries; ties by entry, so that the model is one and the same.
-    kept = wide.orderBy(F.desc("n"), "order", "entry").limit(max_entries)
-    keys, entries = [], []
-    for row in kept.toLocalIterator():
-        own = dict((r["lang"], r["n"]) for r in row["by_lang"])
-        logs = [
-            math.log(
-                (own.get(lang, 0) + 0.5)
-                / (totals.get((lang, row["order"]), 0) + 0.5 * sizes_by_order[row["order"]])
-            )
-            for lang in langs
-        ]
-        keys.append((row["order"], row["entry"]))
-        entries.append(logs)
-    return LanguageModel(langs, keys, np.array(entries).reshape(len(keys), len(langs)))
+    kept = wide.where(F.col("at") <= max(1, max_entries // max(1, len(langs))))
+    found = kept.orderBy("order", "entry").select("order", "entry", "langs", "ns").toArrow()
+    orders, entries = found["order"].to_numpy(), found["entry"].to_pylist()
+    seen = np.zeros((len(entries), len(langs)))
+    if entries:
+        named, ns = (found[c].combine_chunks() for c in ("langs", "ns"))
+        column = {lang: i for i, lang in enumerate(langs)}
+        at = np.fromiter((column[x] for x in named.flatten().to_pylist()), np.int64)
+        seen[np.repeat(np.arange(len(entries)), np.diff(named.offsets)), at] = ns.flatten().to_numpy()
+    # What each language would have if every entry of the order occurred half a time more.
+    whole = np.zeros((max(ORDERS) + 1, len(langs)))
+    for order, distinct in by_order.items():
+        whole[order] = [totals.get((lang, order), 0) + 0.5 * distinct for lang in langs]
+    logs = np.log((seen + 0.5) / whole[orders]) if entries else seen
+    return LanguageModel(langs, list(zip(orders.tolist(), entries)), logs)
 
 
 def detect_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:

@@ -11,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -119,6 +120,88 @@ def test_language_is_learnt_and_held_out_rows_are_right(spark, sf):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def plain_languages(rows):
+    """Training and prediction by plain loops, all rows and entries."""
+    def words(text):
+        return regex.findall(r"\p{L}[\p{L}\p{M}]*", text.lower())
+
+    def grams(word, order):
+        edged = f"^{word}$"
+        return list(word) if order == 1 else [edged[i : i + order] for i in range(len(edged) - order + 1)]
+
+    counts, totals, distinct = {}, {}, {}
+    for lang, text in rows:
+        for word in words(text or "") if lang is not None else []:
+            for order, entry in [(0, word)] + [(o, g) for o in (1, 2, 3, 4, 5) for g in grams(word, o)]:
+                own = counts.setdefault((order, entry), {})
+                own[lang] = own.get(lang, 0) + 1
+                totals[lang, order] = totals.get((lang, order), 0) + 1
+    for order, _ in counts:
+        distinct[order] = distinct.get(order, 0) + 1
+    langs = sorted({lang for lang, _ in totals})
+
+    def logs(order, entry):
+        own = counts[order, entry]
+        return [
+            math.log((own.get(x, 0) + 0.5) / (totals.get((x, order), 0) + 0.5 * distinct[order])) for x in langs
+        ]
+
+    def predict(text):
+        found = words(text or "")
+        if not found:
+            return "und", 0.0
+        total = [0.0] * len(langs)
+        for word in found:
+            entries = [(0, word)] if (0, word) in counts else []
+            edged = f"^{word}$"
+            for at in range(len(edged) - 1) if not entries else ():
+                pieces = [(o, edged[at : at + o]) for o in (5, 4, 3, 2)] + [(1, edged[max(at, 1)])]
+                known = [(o, p) for o, p in pieces if len(p) == o and (o, p) in counts]
+                entries += known[:1]
+            for entry in entries:
+                total = [t + x / len(entries) for t, x in zip(total, logs(*entry))]
+        best = max(range(len(langs)), key=lambda i: (total[i], -i))
+        return langs[best], 1 / sum(math.exp(max(-700, t - total[best])) for t in total)
+
+    return predict
+
+
+def test_language_model_equals_plain_loops(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    held = language_id.fold(F.col("doc_id"), 4) == 2
+    train = [(r.lang, r.text) for r in docs.where(~held).collect()]
+    asked = [(i, t) for i, t in enumerate(
+        [r.text for r in docs.where(held).collect()][:40]
+        + ["½", "² ①", "Ⅷ", "٣", "e\u0301te\u0301 x", "zzzqqq Ωμέγα", "1st", "", None, "_ - 9", "नमस्ते"]
+    )]
+    model = language_id.train(docs.where(~held), max_entries=10**7)
+    df = spark.createDataFrame(asked, "i int, text string")
+    got = {r.i: (r.lang_pred, r.score) for r in language_id.detect_language(df, model).collect()}
+    predict = plain_languages(train)
+    for i, text in asked:
+        want = predict(text)
+        assert got[i][0] == want[0] and got[i][1] == pytest.approx(want[1], rel=1e-6, abs=1e-9)
+    assert [got[i][0] for i in range(40, 44)] == ["und"] * 4 and got[46][0] != "und"
+
+
+def test_a_language_of_copies_and_one_of_few_words_are_kept(spark):
+    rows = [("aa", "lorem ipsum dolor")] * 9000 + [("bb", f"mot{chr(97 + i % 26)} rare{chr(97 + i // 26)}") for i in range(50)]
+    big = [("cc", " ".join(f"{a}{b}x" for b in "abcdefghijklmnopqrstuvwxyz")) for a in "abcdefghijklmnop"]
+    df = spark.createDataFrame(rows + big, "lang string, text string").repartition(5)
+    model = language_id.train(df, max_train_docs=1000, max_entries=300)
+    assert model.langs == ["aa", "bb", "cc"] and len(model.keys) <= 300
+    asked = spark.createDataFrame([(1, "lorem dolor"), (2, "mota rareb"), (3, "aax abx")], "i int, text string")
+    got = {r.i: r.lang_pred for r in language_id.detect_language(asked, model).collect()}
+    assert got == {1: "aa", 2: "bb", 3: "cc"}
+
+
+def test_more_languages_than_are_named(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "NAMED_LANGUAGES", 2)
+    df = spark.createDataFrame([(x, f"{x}{x} {x}") for x in ("aa", "bb", "cc", "dd")] * 3, "lang string, text string")
+    model = language_id.train(df)
+    assert model.langs == ["aa", "bb", "cc", "dd"] and model.predict("cccc")[0] == "cc"
+
+
 def test_language_of_awkward_texts(spark, awkward, no_docs):
     model = language_id.train(awkward)
     rows = language_id.detect_language(awkward, model).collect()
