@@ -22,8 +22,12 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def _keep(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose row id is in ``rows``, with the columns of ``docs``."""
-    return with_row(docs).join(rows.select(ROW), ROW, "left_semi").drop(ROW)
+    """The rows of ``docs`` whose row id is in ``rows``, with the columns of ``docs``; one that is
+    named like the row id stays as it is."""
+    columns = docs.columns
+    aside = {c: f"{c}_{len(columns)}" for c in columns if c == ROW}
+    numbered = with_row(docs.withColumnsRenamed(aside)).join(rows.select(ROW), ROW, "left_semi")
+    return numbered.drop(ROW).withColumnsRenamed({v: k for k, v in aside.items()}).select(*columns)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +38,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (A-Z lower-cased, null as empty) the row with the largest id stays."""
+    """Of equal texts (A-Z lower-cased, null as empty) the row with the largest id stays, of rows
+    that repeat it one. An empty table gives no rows."""
     return _keep(docs, exact_dedup(docs).where("kept"))
 
 
@@ -51,13 +56,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in which a window of a benchmark item occurs."""
+    """Drop documents in which a window of a benchmark item occurs. Null and empty texts have no
+    words and stay; repeated rows stay or go alike; an empty table gives no rows."""
     hits = benchmark_hits(docs, load(spark, sf_dir, "benchmark"))
     return _keep(docs, hits.where(F.size("items") == 0))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and the text they decode to."""
+    """Token ids of every document, and the text they decode to; null texts have no tokens and
+    decode to an empty text, repeated rows are encoded each, an empty table gives no rows."""
     ranks = public_tokenizers.path(VOCABULARY)
     coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, with_decoded=True)
     return coded.select("doc_id", "n_tokens", "ids", F.col("decoded").cast("string").alias("text"))

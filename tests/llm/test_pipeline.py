@@ -1,6 +1,7 @@
 """The stages over awkward tables, and all rows of the pipeline against plain code."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from opslake.llm.decontaminate import words_of
@@ -20,6 +21,16 @@ def test_stages_take_awkward_documents(spark, sf, awkward, name, stage):
     assert stage(spark, docs.limit(0), sf).count() == 0
 
 
+def test_columns_named_like_the_row_id_stay(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    docs = docs.withColumn("__row", F.concat(F.lit("own "), F.col("doc_id").cast("string")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, sf)
+        assert got.columns == docs.columns
+        rows = got.select("doc_id", "__row").collect()
+        assert rows and all(r["__row"] == f"own {r.doc_id}" for r in rows)
+
+
 def test_pipeline_rows(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = corpus_pipeline.keep_quality(spark, docs, sf).select("doc_id", "text").collect()
