@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from opslake.functions.hashing import MODULUS, stream_constants
 from opslake.sources import generate as g
-from opslake.sources.test_tables import WAREHOUSES
+from opslake.sources.generate import WAREHOUSES
 
 
 class Draws:

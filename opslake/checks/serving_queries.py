@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.checks.queries import register, silver
+from opslake.checks.queries import performance, register, silver
 from opslake.checks.sql import with_ctes
 from opslake.functions import masking
 from opslake.operators import search
@@ -14,10 +14,14 @@ from opslake.operators.diff import snapshot_diff
 from opslake.operators.embedding import HashedWordEmbedder, sync_segments
 from opslake.operators.governance import (
     COLUMN_MASKS,
+    COLUMN_TAGS,
     PII_VIEWERS,
+    certify,
     masked_view,
     publish_masked_view,
+    tag_columns,
 )
+from opslake.operators.governance import tag_coverage as governance_tag_coverage
 from opslake.operators.text_index import TextIndex
 from opslake.plans import parts
 from opslake.session import scratch_path
@@ -84,6 +88,31 @@ def masked_customers(spark: SparkSession, sf: str) -> DataFrame:
     return _masked_in_catalog(spark, sf, "customers", "service_ops.silver_customers")
 
 
+_TAGGED = """
+select 'suppliers.silver_suppliers' as object, 'tax_id' as "column", 'pii' as tag, 'true' as value, count(tax_id) as filled from silver_suppliers
+union all select 'suppliers.silver_suppliers', 'tax_id', 'classification', 'restricted', count(tax_id) from silver_suppliers
+union all select 'suppliers.silver_suppliers', 'contact_email', 'pii', 'true', count(contact_email) from silver_suppliers
+union all select 'suppliers.silver_suppliers', 'contact_email', 'classification', 'confidential', count(contact_email) from silver_suppliers
+union all select 'suppliers.gold_supplier_performance', null, 'certified', 'true', count(*) from gold_supplier_performance
+union all select 'suppliers.gold_supplier_performance', null, 'domain', 'suppliers', count(*) from gold_supplier_performance
+union all select 'suppliers.gold_supplier_performance', null, 'steward', 'supply_chain_team', count(*) from gold_supplier_performance"""
+
+
+@register("tag_coverage", with_ctes("silver_suppliers gold_supplier_performance", _TAGGED.strip()))
+def tag_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Tags of a silver table's columns and of a gold table, and how much of them is filled."""
+    create_namespaces(spark)
+    root = scratch_path(spark, "tagged")
+    names = ["suppliers.silver_suppliers", "suppliers.gold_supplier_performance"]
+    rows = silver(spark, sf, "suppliers")
+    materialize(tag_columns(rows, COLUMN_TAGS[names[0]]), names[0], root)
+    materialize(performance(spark, sf), names[1], root)
+    certify(spark, names[1])
+    # Tags that other runs set beside these, such as a table's layer, are not asked for.
+    found = governance_tag_coverage(spark, names)
+    return found.where(~F.col("tag").isin("layer") & (F.col("column").isNotNull() | F.col("object").like("%.gold%")))
+
+
 # --- snapshots of the searchable table --------------------------------------------------
 
 # The later snapshot: some parts gone, some with a new price and text, some new.

@@ -7,6 +7,7 @@ whoever may read the files beneath it sees them.
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,11 +109,19 @@ def tag_columns(df: DataFrame, tags: Mapping[str, Mapping[str, str]]) -> DataFra
     return df
 
 
+def certify(spark: SparkSession, name: str) -> None:
+    """Mark a gold table as certified, with its domain and steward."""
+    tag_table(
+        spark,
+        name,
+        {"certified": "true", "domain": name.split(".")[0], "steward": STEWARDS[name]},
+    )
+
+
 def certify_gold(spark: SparkSession) -> None:
-    """Mark the gold tables as certified, with their domain and steward."""
-    for name, steward in STEWARDS.items():
-        domain = name.split(".")[0]
-        tag_table(spark, name, {"certified": "true", "domain": domain, "steward": steward})
+    """Mark all gold tables as certified."""
+    for name in STEWARDS:
+        certify(spark, name)
 
 
 def tag_inventory(spark: SparkSession, tables: Collection[str]) -> DataFrame:
@@ -128,3 +137,22 @@ def tag_inventory(spark: SparkSession, tables: Collection[str]) -> DataFrame:
             for tag, value in f.metadata.get(TAGS, {}).items():
                 rows.append((name, f.name, tag, str(value)))
     return spark.createDataFrame(rows, "object string, column string, tag string, value string")
+
+
+def tag_coverage(spark: SparkSession, tables: Collection[str]) -> DataFrame:
+    """The tag inventory with what each tag stands for: the rows of a tagged table, the values
+    that aren't NULL of a tagged column. One aggregate per table, over its tagged columns only."""
+    inventory = tag_inventory(spark, tables)
+    counted = []
+    for name in tables:
+        tagged = [f.name for f in spark.table(name).schema.fields if f.metadata.get(TAGS)]
+        counts = [F.count(F.lit(1)).alias("0"), *(F.count(F.col(f"`{c}`")).alias(str(i)) for i, c in enumerate(tagged, 1))]
+        entries = ", ".join(f"{c}, `{i}`" for i, c in enumerate(["cast(null as string)", *(f"'{c}'" for c in tagged)]))
+        totals = spark.table(name).agg(*counts).select(
+            F.lit(name).alias("object"),
+            F.expr(f"stack({len(tagged) + 1}, {entries}) as (column, filled)"),
+        )
+        counted.append(totals)
+    filled = reduce(DataFrame.unionByName, counted).alias("f")
+    same = (F.col("i.object") == F.col("f.object")) & F.col("i.column").eqNullSafe(F.col("f.column"))
+    return inventory.alias("i").join(filled, same).select("i.*", "f.filled")

@@ -72,15 +72,30 @@ def generated_at(as_of: datetime | str | None) -> Column:
 def paid_stats(purchases: DataFrame) -> DataFrame:
     """What was paid per part. Counts rows, not distinct purchases.
 
-    The mean is taken over decimals of ten places, so it does not depend on the order in
-    which rows are added.
+    The mean is that of the prices in units of 1e-10, as whole numbers, so it does not depend on
+    the order in which rows are added. Billions of units and the rest are added apart, in 64 bits
+    each, and put together once per part.
     """
-    return purchases.groupBy("part_id").agg(
-        F.avg(F.col("net_unit_price_usd").cast("decimal(28,10)")).cast("double").alias("avg_paid_usd"),
-        F.min("net_unit_price_usd").alias("best_paid_usd"),
+    price = F.col("net_unit_price_usd")
+    units = F.rint(price * F.lit(1e10)).cast("bigint")
+    found = purchases.select("part_id", price, "purchase_id", "purchased_at", units.alias("units"))
+    sums = found.groupBy("part_id").agg(
+        F.expr("sum(units div 1000000000)").alias("billions"),
+        F.expr("sum(units % 1000000000)").alias("rest"),
+        F.count(price).alias("priced"),
+        F.min(price).alias("best_paid_usd"),
         F.count("purchase_id").alias("purchase_count"),
         F.max("purchased_at").alias("last_purchase_at"),
     )
+    total = """cast(cast(cast(billions as decimal(20,0)) * 1000000000BD + rest as decimal(28,0))
+      * 0.0000000001BD as double)"""
+    return sums.select(
+        "part_id",
+        F.try_divide(F.expr(total), F.col("priced").cast("double")).alias("avg_paid_usd"),
+        "best_paid_usd",
+        "purchase_count",
+        "last_purchase_at",
+    )
 
 
 def gold_part_pricing_benchmark(parts: DataFrame, purchases: DataFrame) -> DataFrame:

@@ -10,8 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WAREHOUSES = ("CLE-01", "CHI-02", "DAL-03", "ATL-04", "LAX-05")
-
+from opslake.sources.generate import WAREHOUSES
 
 # The tables' columns. Declared, so that building a query runs no job.
 COLUMNS = {
