@@ -73,13 +73,14 @@ NOISE_WORDS = frozenset(
     "captcha comment comments commentlist consent cookie cookies copyright disqus donate footer "
     "gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification "
     "outbrain overlay pager paginate pagination paywall popup popover promo reactions recommended "
-    "recommendations related replies reply respond respondform search share sharebar sharing sidebar "
+    "recommendations related replies reply respond respondform search share sharebar sharedaddy sharing sidebar "
     "signin signup skip skiplink social sponsor sponsored submenu subscribe subscription taboola "
     "toolbar tooltip topbar".split()
 )
-# Said of articles as well ("article-header"): noise only without a word of the next list.
+# Said of parts of articles as well ("article-header"): noise only without a word of the next list.
 WEAK_WORDS = frozenset("aside banner form header links meta rail tags widget widgets".split())
-GOOD_WORDS = frozenset("article articlebody body content entry main post postbody story text".split())
+ARTICLE_WORDS = frozenset("article articlebody entry post postbody story".split())
+GOOD_WORDS = ARTICLE_WORDS | frozenset("body content main text".split())
 
 # The weight of content falls with the kinds of children to this power.
 DAMP = 0.9
@@ -254,7 +255,7 @@ def _declaration(name: str, attributes: str) -> tuple[str, int, bool]:
     elif name not in ("html", "body", "main"):
         # Sites also list what goes with an article among its classes.
         strong = words & NOISE_WORDS and not (name == "article" and good_words)
-        noise = int(bool(strong or words & WEAK_WORDS and not good_words))
+        noise = int(bool(strong or words & WEAK_WORDS and not words & ARTICLE_WORDS))
     good = (
         name in ("article", "main")
         or role in ("article", "main")
@@ -337,7 +338,9 @@ def _places(page: Page, gone: list[bool]) -> Iterator[list[bool]]:
     sizes = _summed(page, _sizes(page, gone))
     for name in ("article", "main"):
         yield _inherit(page, [page.tag[i] == name and not gone[i] for i in range(n)])
-    yield _inherit(page, [page.good[i] and not gone[i] and 3 * sizes[i] >= sizes[0] for i in range(n)])
+    named = [page.good[i] and not gone[i] for i in range(n)]
+    if any(named[i] and 3 * sizes[i] >= sizes[0] for i in range(n)):
+        yield _inherit(page, named)
     yield [True] * n
 
 
@@ -486,8 +489,8 @@ def extract_main_text(
     Branches below ``threshold`` of a site with at least ``min_pages`` different pages that have them
     are removed, as are those that the markup declares to be no article. An element named article or
     main, and plain elements inside one, are never removed for their importance. If a page has
-    articles, the text is theirs; else that of its main element; else that of what its class calls
-    the content, if it holds a third of the text; else all that is left.
+    articles, the text is theirs; else that of its main element; else that of what class or id
+    call its content, if one such element holds a third of the text; else all that is left.
 
     Null and empty pages give an empty text; pages without a URL are one site. Repeated rows are
     extracted each. An empty table gives no rows. Other columns are kept, whatever their names but

@@ -77,6 +77,9 @@ Lead text<br>more <i>text</i> here 1 < 2 &lt;b&gt;<p>Para</div></div>
         ('<a href="never ends>x', ""),
         ("<div role=main><p>m</p></div><div><p>o</p></div>", "m"),
         ("<div class=entry-content><p>main part</p></div><div><p>o</p></div>", "main part"),
+        ("<div class=article-header><h1>t</h1></div><div class=article-body>text of it</div>x", "t|text of it"),
+        ("<div class=header-content>s</div><div class=content>text of it</div>", "text of it"),
+        ("<div class='popup'>p</div><div class=post>t</div><div class='siteNotice'>n</div>", "t"),
         ("<main>m</main>o", "m"),
         ("<article></article>o", "o"),
         ("<article>a1</article>x<article>a2</article>", "a1|a2"),
