@@ -1,10 +1,14 @@
 """Lines repeated across documents, counted in levelled sorted runs of line hashes.
 
-Documents arrive in batches. A batch brings the hashes of its lines, leaves out those that
-the runs have settled as repeated (an anti-join), counts the rest and adds the counts as a
-sorted run of level 0. Whenever a level holds ``fanout`` runs they are merged into one run
-of the next level, so few runs exist and each count is rewritten only a logarithmic number
-of times. A line key is settled once its counts reach the limit.
+Documents arrive in batches, whose number follows the size of the text. A batch brings the hashes
+of its lines, leaves out those that a run has settled as repeated, counts the rest and adds the
+counts as a sorted run of level 0. Two runs of a level are merged into one of the next, so few
+runs exist and a count is rewritten only a logarithmic number of times. A line key is settled
+in a run once its count there reaches the limit.
+
+Runs are tables bucketed and sorted by the hashes, one file per bucket. So a batch,
+dealt and sorted once, is merge-anti-joined with one run after the other, and two runs are
+merged by an outer merge join; neither shuffles or sorts a run again.
 
 Only DataFrame functions are used. Keys are 128-bit hashes: two 64-bit hashes with different
 seeds. A line found in every document is combined before each shuffle; where lines meet the
@@ -13,19 +17,24 @@ repeated keys, the adaptive skew join splits it.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
+from contextlib import contextmanager
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm.common import ROW, lower_ascii, stored, with_row
+from opslake.llm.common import ROW, discard, lower_ascii, stored, with_row
+from opslake.session import scratch_path
 
 BLANKS = " \t\n\x0b\x0c\r"
 HASH = ["h1", "h2"]
 MIN_DOCS = 10
 MIN_CHARS = 1
-BATCHES = 4
-FANOUT = 4
+# Text bytes of a batch, and how many batches there are at least and at most.
+BATCH_BYTES, MIN_BATCHES, MAX_BATCHES = 256 << 20, 4, 64
+# Lets a scan of a bucketed table say that it is sorted, if a bucket is one file.
+SORTED_SCAN = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 # Repeated keys, of 16 bytes each, that are sent to the tasks: 8 MB.
 BROADCAST_KEYS = 500_000
 
@@ -42,46 +51,77 @@ def _hashes(line: Column, min_chars: int) -> Column:
     return F.when(F.char_length(key) >= min_chars, both)
 
 
+@contextmanager
+def _sorted_scans(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(SORTED_SCAN)
+    spark.conf.set(SORTED_SCAN, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SORTED_SCAN, before)
+
+
 class LineRuns:
     """Counts of line hashes as sorted runs by level, in the shared folder."""
 
-    def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fanout: int = FANOUT):
+    def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, buckets: int | None = None):
         self.spark = spark
         self.min_docs = min_docs
-        self.fanout = fanout
-        self.levels: list[list[DataFrame]] = []
-        self.settled: list[DataFrame] = []
-
-    def _write(self, counts: DataFrame, level: int) -> None:
-        run = stored(counts.sortWithinPartitions(*HASH), f"line-run-{level}")
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(run)
-        self.settled.append(run.where(F.col("docs") >= self.min_docs).select(*HASH))
-
-    def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        together = reduce(DataFrame.unionByName, runs)
-        return together.groupBy(*HASH).agg(F.sum("docs").alias("docs"))
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.levels: list[DataFrame | None] = []
+
+    def _write(self, counts: DataFrame, level: int) -> DataFrame:
+        """A run of rows that are dealt by the hashes already."""
+        path = scratch_path(self.spark, f"line-run-{level}")
+        name = f"line_run_{path[-32:]}"
+        writer = counts.write.bucketBy(self.buckets, *HASH).sortBy(*HASH)
+        writer.option("path", path).saveAsTable(name)
+        run = self.spark.table(name)
+        run.schema  # resolved; the name is needed no longer, and the files stay
+        self.spark.sql(f"drop table {name}")
+        return run
+
+    def _runs(self) -> list[DataFrame]:
+        return [run for run in self.levels if run is not None]
+
+    def _merged(self, left: DataFrame, right: DataFrame) -> DataFrame:
+        both = left.join(right.withColumnRenamed("docs", "more"), HASH, "full_outer")
+        docs = F.coalesce("docs", F.lit(0)) + F.coalesce("more", F.lit(0))
+        return both.select(*HASH, docs.alias("docs"))
+
+    def unsettled(self, counts: DataFrame) -> DataFrame:
+        """The counts of a batch, dealt by the hashes, without keys that a run has settled."""
+        for run in self._runs():
+            settled = run.where(F.col("docs") >= self.min_docs).select(*HASH)
+            counts = counts.join(settled, HASH, "left_anti")
+        return counts
 
     def add(self, keys: DataFrame) -> None:
         """Add a batch: ``h1`` and ``h2``, one row per document and distinct line."""
-        if self.settled:
-            known = reduce(DataFrame.unionByName, self.settled).distinct()
-            keys = keys.join(known, HASH, "left_anti")
-        self._write(keys.groupBy(*HASH).agg(F.count(F.lit(1)).alias("docs")), 0)
-        level = 0
-        while len(self.levels[level]) >= self.fanout:
-            runs, self.levels[level] = self.levels[level], []
-            self._write(self._merged(runs), level + 1)
-            level += 1
+        counts = keys.groupBy(*HASH).agg(F.count(F.lit(1)).alias("docs"))
+        with _sorted_scans(self.spark):
+            run = self._write(self.unsettled(counts.repartition(self.buckets, *HASH)), 0)
+            level = 0
+            while level < len(self.levels) and (other := self.levels[level]) is not None:
+                self.levels[level] = None
+                parts = other, run
+                run = self._write(self._merged(other, run), level + 1)
+                for part in parts:
+                    discard(part)
+                level += 1
+        if level == len(self.levels):
+            self.levels.append(None)
+        self.levels[level] = run
 
     def repeated(self) -> DataFrame:
         """The keys found in at least ``min_docs`` documents over all batches."""
-        runs = [run for level in self.levels for run in level]
-        if not runs:
+        with _sorted_scans(self.spark):
+            whole: DataFrame | None = None
+            for level, run in enumerate(self._runs()):
+                whole = run if whole is None else self._write(self._merged(whole, run), level)
+        if whole is None:
             return self.spark.createDataFrame([], "h1 long, h2 long")
-        last = self._merged(runs).where(F.col("docs") >= self.min_docs).select(*HASH)
-        return reduce(DataFrame.unionByName, [*self.settled, last]).distinct()
+        return whole.where(F.col("docs") >= self.min_docs).select(*HASH)
 
 
 def dedup_lines(
@@ -90,8 +130,7 @@ def dedup_lines(
     id_col: str = "doc_id",
     min_docs: int = MIN_DOCS,
     min_chars: int = MIN_CHARS,
-    batches: int = BATCHES,
-    fanout: int = FANOUT,
+    batches: int | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_lines``, ``n_dropped`` and ``kept_text``.
 
@@ -99,15 +138,21 @@ def dedup_lines(
     ``min_docs`` rows goes, in every row; a row that repeats a line counts once. Null and
     empty texts are one empty line, which stays. Rows count as documents of their own, also
     if ids repeat or are null. An empty table gives no rows; other columns are left out.
+    ``batches``: one per ``BATCH_BYTES`` of text unless given, from ``MIN_BATCHES`` to
+    ``MAX_BATCHES``.
     """
     spark = docs.sparkSession
+    if batches is None:
+        size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+        batches = min(MAX_BATCHES, max(MIN_BATCHES, ceil(size / BATCH_BYTES)))
     source = with_row(docs).select(ROW, id_col, F.coalesce(text_col, F.lit("")).alias("text"))
     lines = F.split("text", "\n")
     keys = F.transform(lines, lambda line: _hashes(line, min_chars))
-    batch = F.pmod(F.xxhash64(ROW), F.lit(batches)).cast("int")
+    # By part of the input: a file of the keys has rows of one batch, and others skip it.
+    batch = F.pmod(F.shiftright(ROW, 33), F.lit(batches)).cast("int")
     keyed = stored(source.select(ROW, batch.alias("batch"), keys.alias("keys")), "line-keys")
 
-    runs = LineRuns(spark, min_docs, fanout)
+    runs = LineRuns(spark, min_docs)
     for number in range(batches):
         part = keyed.where(F.col("batch") == number)
         found = part.select(F.explode(F.array_distinct("keys")).alias("key"))

@@ -1,12 +1,13 @@
 """Exact dedup against grouping by text, also with a hash that collides; and line dedup."""
 
+import random
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from opslake.llm.exact_dedup import exact_dedup
-from opslake.llm.line_dedup import dedup_lines
+from opslake.llm.line_dedup import LineRuns, _sorted_scans, dedup_lines
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -56,10 +57,10 @@ def lines_by_hand(rows, min_docs, min_chars=1):
     return out
 
 
-@pytest.mark.parametrize(("min_docs", "batches", "fanout"), [(2, 4, 2), (3, 1, 4), (4, 7, 3)])
-def test_lines_equal_brute_force(awkward, min_docs, batches, fanout):
+@pytest.mark.parametrize(("min_docs", "batches"), [(2, 4), (3, 1), (4, 7), (2, None)])
+def test_lines_equal_brute_force(awkward, min_docs, batches):
     rows = [tuple(r) for r in awkward.select("doc_id", "text").collect()]
-    got = dedup_lines(awkward, min_docs=min_docs, batches=batches, fanout=fanout)
+    got = dedup_lines(awkward, min_docs=min_docs, batches=batches)
     want = lines_by_hand(rows, min_docs)
     assert Counter(map(tuple, got.collect())) == Counter(want)
 
@@ -69,3 +70,31 @@ def test_a_line_repeated_within_one_document_stays(spark):
     got = {r.doc_id: r.kept_text for r in dedup_lines(docs, min_docs=2).collect()}
     assert got == {1: "", 2: "b"}
     assert {r.n_dropped for r in dedup_lines(docs, min_docs=3).collect()} == {0}
+
+
+def test_runs_are_merged_and_joined_in_their_order(spark):
+    """Batches against a counter, and plans that neither shuffle nor sort a run."""
+    rng = random.Random(3)
+    runs = LineRuns(spark, min_docs=5, buckets=4)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seen = Counter()
+        for number in range(7):
+            keys = [(rng.randrange(60) ** 2 % 50, 1) for _ in range(60)]
+            seen.update(keys)
+            runs.add(spark.createDataFrame(keys, "h1 long, h2 long"))
+            assert [r is not None for r in runs.levels] == [c == "1" for c in reversed(bin(number + 1)[2:])]
+        assert {tuple(r) for r in runs.repeated().collect()} == {k for k, n in seen.items() if n >= 5}
+
+        def steps(df):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            return [plan.count(word) for word in ("Exchange", "Sort [", "SortMergeJoin")]
+
+        batch = spark.createDataFrame([(1, 1)], "h1 long, h2 long").repartition(4, "h1", "h2")
+        with _sorted_scans(spark):
+            # The batch is dealt and sorted once, whatever the number of runs.
+            assert steps(runs.unsettled(batch)) == [1, 1, 3]
+            assert steps(runs._merged(runs.levels[0], runs.levels[1])) == [0, 0, 1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
