@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from opslake.functions.masking import MASKS, register_sql_masks
 from opslake.sources.catalog import publish_view, table_properties, tag_table
@@ -90,9 +91,13 @@ def publish_masked_view(spark: SparkSession, table: str, masks: Mapping[str, str
 
 
 def create_viewers(spark: SparkSession) -> None:
-    """The table of those who may see plain values: a user's name per row."""
+    """The table of those who may see plain values: a user's name per row. Its files lie in the
+    warehouse under a path of their own, so the list outlives a catalog that is kept in memory."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {VIEWERS.split('.')[0]} COMMENT 'Who may see what'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {VIEWERS} (member STRING) USING parquet")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_governance/pii_viewers"
+    if not spark.catalog.tableExists(VIEWERS):
+        schema = StructType().add("member", "string")
+        spark.catalog.createTable(VIEWERS, path=folder, source="parquet", schema=schema)
 
 
 def add_viewer(spark: SparkSession, member: str) -> None:
@@ -100,6 +105,14 @@ def add_viewer(spark: SparkSession, member: str) -> None:
     spark.sql(f"INSERT INTO {VIEWERS} VALUES (:member)", args={"member": member})
 
 
+def remove_viewer(spark: SparkSession, member: str) -> None:
+    create_viewers(spark)
+    # The names of a group of people, few enough to rewrite from here.
+    left = [(r.member,) for r in spark.table(VIEWERS).collect() if r.member != member]
+    spark.createDataFrame(left, "member string").write.insertInto(VIEWERS, overwrite=True)
+    spark.catalog.refreshTable(VIEWERS)
+
+
 def tag_columns(df: DataFrame, tags: Mapping[str, Mapping[str, str]]) -> DataFrame:
     """Tags in the columns' metadata, where tables and parquet files keep them."""
     for column, values in tags.items():
