@@ -79,7 +79,10 @@ class CellIndex:
         """
         spark = index.sparkSession
         path = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
-        rows = index.where(F.col(EMBEDDING).isNotNull())
+        # Fitting and measuring read the rows many times, so they are written first.
+        given = scratch_path(spark, "cell-rows")
+        index.where(F.col(EMBEDDING).isNotNull()).write.parquet(given)
+        rows = spark.read.schema(index.schema).parquet(given)
         total = rows.count()
         cells = max(1, min(cells or math.isqrt(total), max(1, total)))
         pointing = rows.where(F.exists(EMBEDDING, lambda x: x != 0))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opslake.operators.diff import CHANGE, one_per_key, snapshot_diff
@@ -104,19 +104,22 @@ class HashedWordEmbedder:
         salted = F.transform(words_of(F.col(text)), lambda w: F.concat(w, F.lit(self.salt)))
         places = F.transform(salted, lambda w: F.pmod(word_id(w), F.lit(self.width)).cast("int"))
         every = F.sequence(F.lit(0), F.lit(self.width - 1))
-        counts = F.transform(
-            every, lambda i: F.size(F.filter("__places", lambda p: p == i)).cast("double")
-        )
-        norm = F.sqrt(F.aggregate("__counts", F.lit(0.0), lambda a, x: a + x * x))
-        unit = F.transform(
-            "__counts", lambda x: F.when(F.col("__norm") > 0, x / F.col("__norm")).otherwise(0.0)
-        )
-        steps = df.withColumn("__places", places).withColumn("__counts", counts)
-        return (
-            steps.withColumn("__norm", norm)
-            .withColumn(output, unit.cast("array<float>"))
-            .drop("__places", "__counts", "__norm")
-        )
+
+        def counts(own: Column) -> Column:
+            return F.transform(every, lambda i: F.size(F.filter(own, lambda p: p == i)).cast("double"))
+
+        def unit(found: Column) -> Column:
+            norm = F.sqrt(F.aggregate(found, F.lit(0.0), lambda a, x: a + x * x))
+            return _let(norm, lambda n: F.transform(found, lambda x: F.when(n > 0, x / n).otherwise(0.0)))
+
+        vector = _let(places, lambda own: _let(counts(own), unit))
+        return df.withColumn(output, vector.cast("array<float>"))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row, however often the body names it; as a
+    column of its own it would be put in place of each name."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _current(source: DataFrame, key: str, text: str, columns: Sequence[str] | None) -> DataFrame:
