@@ -87,3 +87,16 @@ def part_description(
         F.when(hazmat == 1, "Hazardous material handling required.").otherwise(""),
         F.concat(F.lit("List price USD"), price.cast("string")),
     )
+
+
+def money_sum(amount: Column) -> Column:
+    """Aggregate: the sum of amounts of money, in whole millionths, so that it does not depend on the
+    order in which rows are added. Billions of millionths and the rest are added apart, in 64 bits
+    each; an amount may have up to nine digits before the point."""
+    units = F.rint(amount * F.lit(1e6)).cast("bigint")
+    billion = F.lit(1_000_000_000).cast("bigint")
+    rest = units % billion
+    whole = ((units - rest) / billion).cast("bigint")
+    total = F.sum(whole).cast("decimal(20,0)") * F.lit(1_000_000_000).cast("decimal(10,0)")
+    total = (total + F.sum(rest).cast("decimal(20,0)")).cast("decimal(31,0)")
+    return (total * F.expr("0.000001BD")).cast("double")

@@ -77,7 +77,7 @@ def supplier_spend(purchases: DataFrame) -> DataFrame:
     does not gather in one task. Purchases are read twice for it, by columns.
     """
     money = purchases.groupBy("supplier_id").agg(
-        F.sum(F.col("qty") * F.col("net_unit_price_usd")).alias("total_spend_usd"),
+        business.money_sum(F.col("qty") * F.col("net_unit_price_usd")).alias("total_spend_usd"),
         F.avg("net_unit_price_usd").alias("avg_net_price_usd"),
         F.max("purchased_at").alias("last_purchase_at"),
     )
