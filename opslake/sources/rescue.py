@@ -44,7 +44,7 @@ def _rescue_json(misfits: Mapping[str, Column], unknown: Column | None, corrupt:
     return F.when(needed, F.to_json(merged))
 
 
-def _fit(
+def fit(
     df: DataFrame,
     raw: Mapping[str, Column],
     schema: StructType,
@@ -52,6 +52,7 @@ def _fit(
     corrupt: Column,
     keep: list[str],
 ) -> DataFrame:
+    """Typed columns from their text; what doesn't fit, is ``unknown`` or ``corrupt`` is rescued."""
     cast = {f.name: raw[f.name].try_cast(f.dataType) for f in schema.fields}
     misfits = {
         f.name: F.when(cast[f.name].isNull(), raw[f.name])
@@ -77,7 +78,7 @@ def rescue_text_columns(df: DataFrame, schema: StructType, extra: list[str] | No
     if extra:
         cells = F.array(*[F.struct(F.lit(n).alias("k"), F.col(n).alias("v")) for n in extra])
         unknown = F.map_from_entries(F.filter(cells, lambda p: p["v"].isNotNull()))
-    return _fit(df, raw, schema, unknown, corrupt, keep)
+    return fit(df, raw, schema, unknown, corrupt, keep)
 
 
 def rescue_fields(df: DataFrame, schema: StructType, fields: str) -> DataFrame:
@@ -91,7 +92,7 @@ def rescue_fields(df: DataFrame, schema: StructType, fields: str) -> DataFrame:
         lambda k, v: ~k.isin([*known, CORRUPT]) & v.isNotNull(),
     )
     corrupt = F.try_element_at(F.col(fields), F.lit(CORRUPT))
-    return _fit(df, raw, schema, unknown, corrupt, keep)
+    return fit(df, raw, schema, unknown, corrupt, keep)
 
 
 def rescue_json_lines(df: DataFrame, schema: StructType, column: str = "value") -> DataFrame:

@@ -16,37 +16,52 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 _LATTICE = ("int", "bigint", "double", "timestamp", "boolean")
 
 
-def _fits(cell: Column, kind: str) -> Column:
-    if kind == "timestamp":
-        # Not every text that can be cast is meant as a time: "2024" is a number.
-        return cell.rlike(r"^\s*\d{4}-\d{2}-\d{2}([ T].*)?$") & cell.try_cast(kind).isNotNull()
-    if kind == "boolean":
-        return F.lower(F.trim(cell)).isin("true", "false")
-    if kind == "double":
-        return cell.rlike(r"^\s*[+-]?(\d|\.\d|NaN$|Inf)") & cell.try_cast(kind).isNotNull()
-    return cell.rlike(r"^\s*[+-]?\d+\s*$") & cell.try_cast(kind).isNotNull()
-
-
-def widest(cell: Column) -> Column:
-    """Aggregate: the narrowest type that all cells of a column fit, as its name. Empty and NULL
-    cells fit anything; a column of them, or one that nothing narrower fits, is text."""
-    full = cell.isNotNull() & (F.trim(cell) != "")
-    found = F.lit("string")
-    for kind in reversed(_LATTICE):
-        found = F.when(F.count_if(full & ~F.coalesce(_fits(cell, kind), F.lit(False))) == 0, kind).otherwise(found)
-    return F.when(F.count_if(full) == 0, "string").otherwise(found)
+_BIT = {kind: 1 << at for at, kind in enumerate(_LATTICE)}
+
+
+def _fits(cell: Column) -> Column:
+    """The types that a cell's text fits, as bits; NULL for an empty or NULL cell. What is cheap to
+    tell comes first, and a cell is cast only to what it looks like."""
+
+    def bits(*kinds: str) -> Column:
+        return F.lit(sum(_BIT[k] for k in kinds))
+
+    def casts(kind: str) -> Column:
+        return cell.try_cast(kind).isNotNull()
+
+    number = F.when(casts("double"), bits("double")).otherwise(bits())
+    whole = F.when(casts("int"), bits("int", "bigint", "double")).when(casts("bigint"), bits("bigint", "double"))
+    # Not every text that can be cast is meant as a time: "2024" is a number.
+    dated = F.when(casts("timestamp"), bits("timestamp")).otherwise(bits())
+    return F.when(
+        F.trim(cell) != "",
+        F.when(cell.rlike(r"^\s*[+-]?\d+\s*$"), whole.otherwise(number))
+        .when(cell.rlike(r"^\s*\d{4}-\d{2}-\d{2}([ T].*)?$"), dated)
+        .when(cell.rlike(r"^\s*[+-]?(\d|\.\d|NaN$|Inf)"), number)
+        .when(F.lower(F.trim(cell)).isin("true", "false"), bits("boolean"))
+        .otherwise(bits()),
+    )
+
+
+def _narrowest(bits: int | None) -> DataType:
+    """The first type that all cells fit; text if there is none, or if every cell is empty."""
+    kinds = (kind for kind in _LATTICE if bits and bits & _BIT[kind])
+    return DataType.fromDDL(next(kinds, "string"))
 
 
 def infer_fields(entries: DataFrame, limit: int | None = None) -> StructType:
     """The columns among (``name``, ``value``) entries, by name, typed by one aggregate that
     combines before it shuffles. No columns at all if there are more than ``limit``."""
-    found = entries.groupBy("name").agg(widest(F.col("value")).alias("kind"))
-    rows = sorted((found if limit is None else found.limit(limit + 1)).collect())
+    # Typed before they are grouped: within the aggregate, every use of the cell's bits would
+    # repeat all of it, in a method too long for the JVM to compile.
+    typed = entries.select("name", _fits(F.col("value")).alias("bits"))
+    found = typed.groupBy("name").agg(F.bit_and("bits").alias("bits"))
+    rows = (found if limit is None else found.limit(limit + 1)).collect()
     if limit is not None and len(rows) > limit:
         return StructType()
     schema = StructType()
-    for name, kind in rows:
-        schema = schema.add(name, DataType.fromDDL(kind))
+    for name, bits in sorted(rows, key=lambda row: row["name"]):
+        schema = schema.add(name, _narrowest(bits))
     return schema
 
 
@@ -58,7 +73,7 @@ def infer_schema(
 ) -> StructType:
     """Column types of the CSV (with header) or NDJSON files under ``path``, from one scan.
 
-    CSV cells are read as text and typed by an aggregate per column; all files must share one
+    CSV cells are read as text and typed by an aggregate by column; all files must share one
     header. JSON lines are typed through their variant schema: whole numbers are bigint, other
     numbers double, all else is text. On large datasets run it on the files of one delivery
     (``modified_after``): the ingest rescues whatever the inferred types do not fit.
@@ -68,10 +83,13 @@ def infer_schema(
         reader = reader.option("modifiedAfter", modified_after)
     if file_format == "csv":
         cells = reader.option("header", True).csv(path)
-        kinds = cells.agg(*(widest(F.col(f"`{c}`")).alias(c) for c in cells.columns)).head()
+        # A row per cell: what is compiled doesn't grow with the number of columns.
+        columns = [F.col(f"`{c}`") for c in cells.columns]
+        entries = cells.unpivot([], columns, "name", "value")
+        found = {f.name: f.dataType for f in infer_fields(entries).fields}
         schema = StructType()
         for name in cells.columns:
-            schema = schema.add(name, DataType.fromDDL(kinds[name]))
+            schema = schema.add(name, found.get(name, _narrowest(None)))
         return schema
     if file_format == "json":
         return infer_json_fields(reader.text(path), "value")

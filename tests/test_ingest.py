@@ -166,6 +166,34 @@ def test_the_header_is_the_first_line_of_each_file(spark, tmp_path):
     assert sorted(map(tuple, got)) == [(2, 20_000, 0, 19_999), (3, 20_000, 20_000, 39_999)]
 
 
+def test_lines_equal_to_the_header_are_data_but_for_one(spark, tmp_path):
+    feed = Deliveries(spark, tmp_path, "csv")
+    drop_file(feed.landing, "a.csv", "\nid,q,at\n1,5,\nid,q,at\nid,q,at\n")
+    drop_file(feed.landing, "b.csv", "at,id,q,new\n,2,6,x\n,3,7\n")
+    feed.run()
+    rows = sorted(((r.id, r.q, r.new, r._rescued) for r in feed.rows().collect()), key=str)
+    again = '{"id":"id","q":"q","at":"at"}'
+    assert [r[:3] for r in rows] == [(1, 5, None), (2, 6, "x"), (3, 7, None), (None, None, None), (None, None, None)]
+    assert [r[3] for r in rows] == [None, None, '{"_corrupt_record":",3,7"}', again, again]
+
+
+def test_known_columns_are_not_typed_again_and_lines_not_shuffled(spark, tmp_path, monkeypatch):
+    def typed(*args, **kwargs):
+        raise AssertionError("no header has a new name")
+
+    monkeypatch.setattr(deliveries, "infer_fields", typed)
+    feed = Deliveries(spark, tmp_path, "csv")
+    drop_file(feed.landing, "a.csv", "id,q,at\n1,5,\n")
+    drop_file(feed.landing, "b.csv", "q,at,id\n6,,2\n")
+    assert sorted(feed.run()) == [1, 2]
+    lines = spark.read.text(str(feed.landing)).select(
+        "value", F.col("_metadata.file_path").alias("_source_file"), F.lit(True).alias("__first_split")
+    )
+    plan = deliveries._CsvRows(lines).lines._jdf.queryExecution().executedPlan().toString()
+    main, repeated = plan.split("HashAggregate", 1)
+    assert "BroadcastHashJoin" in main and "hashpartitioning" not in main and "hashpartitioning" in repeated
+
+
 def test_new_json_fields_join_the_schema(spark, tmp_path):
     feed = Deliveries(spark, tmp_path, "json")
     drop_file(feed.landing, "a.json", '{"id": 1, "q": 5}\n{broken\n')
@@ -222,6 +250,19 @@ def test_inference_and_evolution(spark, tmp_path):
     assert infer_schema(spark, str(tmp_path / "t"), "csv").simpleString() == kinds
 
 
+def test_csv_columns_are_typed_by_one_aggregate(spark, tmp_path, monkeypatch):
+    from opslake.sources import schemas
+
+    real, seen = schemas.infer_fields, []
+    monkeypatch.setattr(schemas, "infer_fields", lambda entries: seen.append(entries.columns) or real(entries))
+    drop_file(tmp_path / "c", "a.csv", "b,a.x,c,d,e\n+5,2024,x,,2024-13-01\n 7 ,3.0,NaN,,2024-01-01\n,,,,\n")
+    found = infer_schema(spark, str(tmp_path / "c"), "csv")
+    assert found.simpleString() == "struct<b:int,a.x:double,c:string,d:string,e:string>"
+    assert seen == [["name", "value"]]  # rows, however many columns there are
+    drop_file(tmp_path / "h", "a.csv", "b,a\n")
+    assert infer_schema(spark, str(tmp_path / "h"), "csv").simpleString() == "struct<b:string,a:string>"
+
+
 def test_registry_versions(spark, tmp_path):
     registry = SchemaRegistry(spark, str(tmp_path / "r"))
     assert registry.load("d") is None
