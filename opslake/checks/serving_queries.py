@@ -278,7 +278,9 @@ def vector_topk_lsh(spark: SparkSession, sf: str) -> DataFrame:
 def vector_topk_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Five neighbours of every hundredth part by its description, from an index by cells."""
     catalogue = parts.parts_searchable(silver(spark, sf, "parts"))
-    rows = HashedWordEmbedder().transform(catalogue, "description")
+    # Embedding is the costly step and the table one small file: its rows are dealt out first.
+    spread = catalogue.repartition(spark.sparkContext.defaultParallelism)
+    rows = HashedWordEmbedder().transform(spread, "description")
     index = CellIndex.build(rows, scratch_path(spark, "cells"), "part_id")
     asked = index.rows().where("part_id % 100 = 0")
     asked = asked.select(F.col("part_id").alias("query_id"), "embedding")

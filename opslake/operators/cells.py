@@ -34,6 +34,8 @@ CELL = "cell"
 # Bounds of what is fitted and measured on.
 SAMPLE_ROWS, SAMPLE_QUERIES = 50_000, 200
 RECALL = 0.9
+# More cells than this cost more to assign rows to, and to list, than their searches save.
+MAX_CELLS = 1024
 
 
 def _sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
@@ -47,7 +49,14 @@ def _nearest(vectors: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
     """The n nearest centres of each unit vector, nearest first."""
     if len(vectors) and vectors.shape[1] != centres.shape[1]:
         raise ValueError(f"vectors of different widths: {centres.shape[1]} stored, {vectors.shape[1]} asked")
-    return np.argsort(-(vectors @ centres.T), axis=1, kind="stable")[:, :n]
+    step, found = 1024, [np.empty((0, min(n, len(centres))), dtype=np.int64)]
+    for start in range(0, len(vectors), step):
+        scores = vectors[start : start + step] @ centres.T
+        if n == 1:
+            found.append(scores.argmax(axis=1)[:, None])
+        else:
+            found.append(np.argsort(-scores, axis=1, kind="stable")[:, :n])
+    return np.concatenate(found)
 
 
 class CellIndex:
@@ -59,6 +68,7 @@ class CellIndex:
         self.centres = np.array(json.loads(row["centres"]))
         self.probes, self.recall = row["probes"], row["recall"]
         self.schema = StructType.fromJson(json.loads(row["schema"])).add(CELL, "integer")
+        self._rows: DataFrame | None = None
 
     @classmethod
     def build(
@@ -73,7 +83,7 @@ class CellIndex:
     ) -> CellIndex:
         """Write the rows of ``index`` that have a vector into a new folder under ``path``.
 
-        ``cells`` is the square root of the number of rows unless given. The probe count is the
+        ``cells`` is the square root of the number of rows, at most ``MAX_CELLS``, unless given. The probe count is the
         smallest power of two (or all cells) that reaches ``recall`` at ``k`` over a sample of the
         rows as queries. Centres come from at most ``SAMPLE_ROWS`` rows; every row is indexed.
         """
@@ -84,7 +94,7 @@ class CellIndex:
         index.where(F.col(EMBEDDING).isNotNull()).write.parquet(given)
         rows = spark.read.schema(index.schema).parquet(given)
         total = rows.count()
-        cells = max(1, min(cells or math.isqrt(total), max(1, total)))
+        cells = max(1, min(cells or min(math.isqrt(total), MAX_CELLS), max(1, total)))
         pointing = rows.where(F.exists(EMBEDDING, lambda x: x != 0))
         unit = search._unit_vectors(_sample(pointing, key, SAMPLE_ROWS, total), "features")
         width = len(rows.head()[EMBEDDING]) if total else 1
@@ -102,7 +112,10 @@ class CellIndex:
                     yield batch.append_column(CELL, pa.array(cell))
 
         layout = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + f", {CELL} int"
-        assigned = rows.mapInArrow(assign, layout)
+        # Written before they are dealt by range, which reads its input twice.
+        placed = scratch_path(spark, "cell-assigned")
+        rows.mapInArrow(assign, layout).write.parquet(placed)
+        assigned = spark.read.schema(layout).parquet(placed)
         # A large cell lies in several files, dealt by key.
         ordered = assigned.repartitionByRange(CELL, key).sortWithinPartitions(CELL, key)
         ordered.write.partitionBy(CELL).parquet(f"{path}/rows")
@@ -138,7 +151,10 @@ class CellIndex:
         self._write_model(self.spark, self.path, (model[0], probes, reached, model[3]))
 
     def rows(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/rows")
+        """The indexed rows. The folder doesn't change, so its files are listed once."""
+        if self._rows is None:
+            self._rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/rows")
+        return self._rows
 
     def search(
         self,
@@ -150,7 +166,8 @@ class CellIndex:
     ) -> DataFrame:
         """The k best rows of the probed cells for every query: query_id, rank, key, columns, score.
 
-        Only the folders of cells that some query of a block probes are read. With ``complete`` a
+        Only the folders of cells that some query of a block probes are read. A block is as many
+        queries as fit its bytes, since a row only meets those that probe its cell. With ``complete`` a
         query whose cells hold fewer than k rows is answered by the exact search.
         """
         shown = search._columns_of(self.rows(), self.key, columns)
@@ -159,7 +176,7 @@ class CellIndex:
             return search.search(self.rows(), asked, k, columns, self.key)
         parts = [
             self._scan(asked, block, k, shown, probes or self.probes)
-            for block in search._query_blocks(asked, search.BLOCK_QUERIES)
+            for block in search._query_blocks(asked, sys.maxsize)
         ]
         if not parts:
             return search.search(self.rows(), asked, k, columns, self.key)
@@ -179,26 +196,31 @@ class CellIndex:
         ids = block.column(QUERY_ID).combine_chunks()
         vectors = search._unit(search._matrix(block.column(EMBEDDING)))
         nearest = _nearest(vectors, self.centres, probes)
-        asking = {int(c): np.flatnonzero((nearest == c).any(axis=1)) for c in np.unique(nearest)}
+        order = np.argsort(nearest, axis=None, kind="stable")
+        at, first = np.unique(nearest.ravel()[order], return_index=True)
+        slots = np.split(order // max(1, nearest.shape[1]), first[1:])
+        asking = {int(c): own for c, own in zip(at, slots)}
         rows = self.rows().where(F.col(CELL).isin(sorted(asking)))
         sent = self.spark.sparkContext.broadcast((vectors, asking))
         key = self.key
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vectors, asking = sent.value
-            best: dict[int, pa.Table] = {}
+            best: dict[tuple[int, int], pa.Table] = {}
             for batch in batches:
                 cells = batch.column(CELL).to_numpy()
                 for cell in np.unique(cells).tolist():
                     own = batch.take(pa.array(np.flatnonzero(cells == cell)))
-                    slots = asking[cell]
-                    top = search._local_top([own], search.QueryBlock(vectors[slots]), k, key, shown)
-                    if top is not None:
-                        before = best.get(cell)
-                        top = top if before is None else pa.concat_tables([before, top])
-                        best[cell] = search._keep_top(top, k, key)
-            for cell, top in best.items():
-                own_ids = ids.take(pa.array(asking[cell]))
+                    # No more queries at once than a block of the exact search has.
+                    for start in range(0, len(asking[cell]), search.BLOCK_QUERIES):
+                        slots = asking[cell][start : start + search.BLOCK_QUERIES]
+                        top = search._local_top([own], search.QueryBlock(vectors[slots]), k, key, shown)
+                        if top is not None:
+                            before = best.get((cell, start))
+                            top = top if before is None else pa.concat_tables([before, top])
+                            best[cell, start] = search._keep_top(top, k, key)
+            for (cell, start), top in best.items():
+                own_ids = ids.take(pa.array(asking[cell][start : start + search.BLOCK_QUERIES]))
                 yield from search._with_ids(top, own_ids, shown).combine_chunks().to_batches()
 
         needed = list(dict.fromkeys([*shown, EMBEDDING, CELL]))

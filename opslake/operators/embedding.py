@@ -106,7 +106,8 @@ class HashedWordEmbedder:
         every = F.sequence(F.lit(0), F.lit(self.width - 1))
 
         def counts(own: Column) -> Column:
-            return F.transform(every, lambda i: F.size(F.filter(own, lambda p: p == i)).cast("double"))
+            # What is left without a place tells how often it is there: no step per word and place.
+            return F.transform(every, lambda i: (F.size(own) - F.size(F.array_remove(own, i))).cast("double"))
 
         def unit(found: Column) -> Column:
             norm = F.sqrt(F.aggregate(found, F.lit(0.0), lambda a, x: a + x * x))
