@@ -335,6 +335,20 @@ def test_cells_reach_their_recall_and_skip_files(spark, sf, tmp_path):
     assert index.probes / len(cells) <= 0.5
 
 
+def test_cells_are_bounded_listed_once_and_searched_in_one_scan(spark, index, vectors, tmp_path, monkeypatch):
+    from opslake.operators import cells
+
+    monkeypatch.setattr(cells, "MAX_CELLS", 7)
+    found_in = cells.CellIndex.build(index, str(tmp_path), "part_id", recall=1.0)
+    assert len(found_in.centres) <= 7 and found_in.rows() is found_in.rows()
+    monkeypatch.setattr(search, "BLOCK_QUERIES", 2)  # per cell now; a block is bounded by its bytes
+    scans, real = [], cells.CellIndex._scan
+    monkeypatch.setattr(cells.CellIndex, "_scan", lambda *args: scans.append(1) or real(*args))
+    queries = vectors[[0, 5, 250, 450, 7]]
+    got = found(found_in.search(ask(spark, queries), 5, probes=len(found_in.centres)))
+    assert got == brute_force(vectors, queries, 5) and len(scans) == 1
+
+
 def test_cells_of_few_rows_and_none(spark, index, vectors, tmp_path):
     from opslake.operators.cells import CellIndex
 
