@@ -16,7 +16,7 @@ from opslake.checks.sql import expectation_sql, table_sql, with_ctes
 from opslake.operators.quality import apply_expectations
 from opslake.plans.domains import DATASETS
 from opslake.plans.lakehouse import Lakehouse
-from opslake.session import scratch_path
+from opslake.session import discard, scratch_path
 from opslake.sources import generate
 from opslake.sources.rescue import SOURCE_FILE, bronze_schema, rescue_json_lines
 from opslake.sources.schemas import infer_schema
@@ -164,6 +164,8 @@ def infer(spark: SparkSession, sf: str) -> DataFrame:
         write_shards(rows, f"{root}/{file_format}", file_format, 4, "small_id")
         schema = infer_schema(spark, f"{root}/{file_format}", file_format)
         found += [(file_format, f.name, f.dataType.simpleString()) for f in schema.fields]
+        # Text of the one format is gone before that of the other is written.
+        discard(spark.read.text(f"{root}/{file_format}"))
     return spark.createDataFrame(found, "file_format string, column_name string, data_type string")
 
 

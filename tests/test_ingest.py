@@ -1,4 +1,5 @@
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -396,3 +397,26 @@ def test_the_event_log_counts_each_batch_once(spark, sf, tmp_path, monkeypatch):
     ).count() == counted(raw)[0]
     house.refresh_dataset("purchases", register=False)
     assert logged(house) == counted(raw)
+
+
+def test_shards_and_inference_leave_nothing_but_their_result(spark, tmp_path):
+    """Ordered rows, shuffles and inferred text are deleted as soon as they are not needed."""
+    from pathlib import Path
+
+    from opslake.checks import QUERIES
+    from opslake.session import scratch_path
+    from opslake.sources.test_tables import COLUMNS
+
+    scratch = Path(scratch_path(spark, "x")).parent
+    kept = lambda: {p for p in scratch.glob("*") if p.name.startswith(("shard-order", "infer"))} if scratch.exists() else set()
+    before, key = kept(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    day = datetime(2024, 5, 1)
+    rows = [(i, i, 1, 1 + i % 3, 10.0, 15.0 * i, 0.0, 0.0, "N", "O", day) for i in range(40)] * 2
+    spark.createDataFrame(rows, COLUMNS["lineitem"]).write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = {(r.file_format, r.column_name): r.data_type for r in QUERIES["infer_schema"](spark, str(tmp_path)).collect()}
+    assert found["csv", "small_id"] == "int" and found["json", "small_id"] == "bigint" and len(found) == 15
+    left = kept() - before
+    assert not [p for p in left if p.name.startswith("shard-order")]
+    assert not [f for p in left for f in p.rglob("part-*")]
+    assert spark.conf.get(key) == was
