@@ -321,18 +321,23 @@ def mine_hard_negatives(
     lane = F.pmod(F.xxhash64("tile"), F.lit(lanes)).cast("int").alias("lane")
     tiles = tiles.withColumn("lane", lane)
     every = F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))
+
+    def meet(asked: DataFrame) -> DataFrame:
+        # Merged and never broadcast: Spark takes the copies for as small as the table they are made
+        # from, and would gather lanes times its size on the driver. In a lane the tiles of anchors
+        # come one after the other, so that the heaps of one are merged over all its tiles of rows.
+        return asked.withColumn("lane", every).hint("merge").join(tiles, "lane")
+
     layout = "tile long, slot long, anchor_id long, positive_id long, positive_score long, score long, id long"
 
-    met = asked.withColumn("lane", every).join(tiles, "lane")
-    found = map_arrow(met, _products("positives", n_positives, low, high), layout)
+    found = map_arrow(meet(asked), _products("positives", n_positives, low, high), layout)
     positives = stored(_merged(found, n_positives), "positives")
     windows = positives.groupBy("tile").applyInArrow(
         _pack_windows, "a_tile long, w_row binary, w_id binary, w_score binary"
     )
     asked = stored(asked.join(windows, "a_tile"), "anchor-windows")
 
-    met = asked.withColumn("lane", every).join(tiles, "lane")
-    found = map_arrow(met, _products("negatives", n_negatives, low, high), layout)
+    found = map_arrow(meet(asked), _products("negatives", n_negatives, low, high), layout)
     return _merged(found, n_negatives).select(
         "anchor_id",
         "positive_id",

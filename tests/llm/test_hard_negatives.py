@@ -96,3 +96,22 @@ def test_scores_beyond_64_bits_are_an_error(spark):
     rows = [(i, [1e16, 1e16], 1) for i in (0, 1)]
     with pytest.raises(Exception, match="64 bits"):
         run(spark, rows)
+
+
+def test_copies_of_anchors_are_never_broadcast(spark, monkeypatch):
+    """The copies for all lanes meet the tiles in a shuffle: on the driver they would be lanes times
+    the size that Spark takes them for."""
+    plans, real = [], hard_negatives.map_arrow
+
+    def seen(df, fn, schema):
+        if "a_vectors" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, fn, schema)
+
+    monkeypatch.setattr(hard_negatives, "map_arrow", seen)
+    monkeypatch.setattr(hard_negatives, "TILE", 16)
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(6)], i % 3) for i in range(200)]
+    assert run(spark, rows) == by_hand(rows, lambda i: i % 10 == 0)
+    assert len(plans) == 2
+    assert all("SortMergeJoin [lane" in p and "BroadcastExchange" not in p for p in plans)
